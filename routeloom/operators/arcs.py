@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routeloom.workspace import freeze, settle
+from routeloom.workspace import freeze, settle, spread
 
 #: Arc tables up to this size are left to the planner; larger ones get a fixed layout.
 LAYOUT_FLOOR = 5_000_000
@@ -27,7 +27,9 @@ class ArcTable:
         spark = arcs.sparkSession
         self.hubs = None
         self.arcs = arcs
-        if n_arcs <= LAYOUT_FLOOR:
+        self.is_small = n_arcs <= LAYOUT_FLOOR
+        if self.is_small:
+            self.arcs = spread(arcs, n_arcs, "dst")
             return
         parts = max(
             int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_arcs // PARTITION_ROWS)
@@ -50,7 +52,7 @@ class ArcTable:
 
     def send(self, rows: DataFrame) -> DataFrame:
         """Pair every row, keyed by ``src``, with each arc leaving that vertex."""
-        if self.hubs is None:
+        if self.is_small:
             return rows.join(self.arcs, "src")
         copies = F.explode(F.sequence(F.lit(0), F.coalesce("shards", F.lit(1)) - 1))
         spread = (

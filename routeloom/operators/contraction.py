@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from routeloom.functions import skew
 from routeloom.functions.skew import lookup_join
-from routeloom.workspace import freeze
+from routeloom.workspace import freeze, freeze_counting, spread
 
 
 class Contraction:
@@ -59,76 +59,71 @@ def contract(edges: DataFrame, rank: list[str]) -> Contraction:
     each component picks its least neighbour.  Either way the picks can only
     form cycles of two, which are cut at the smaller component.
     """
-    live = freeze(
+    live, n_live = freeze_counting(
         edges.filter("src <> dst").select(
             F.col("src").alias("a"), F.col("dst").alias("b"), *[F.col(c) for c in rank]
         ),
         "live",
     )
-    n_live = live.count()
+    live = spread(live, n_live)
     rounds = []
     while n_live:
-        hooks = freeze(_hooks(live, rank), "hooks")
-        roots = _jump_to_roots(hooks.select("comp", "parent"))
+        hooks, n_hooks = freeze_counting(_hooks(live, rank), "hooks")
+        roots = _jump_to_roots(hooks.select("comp", "parent"), n_hooks)
         rounds.append(hooks.join(roots, "comp"))
-        live = _relabel(live, roots, n_live)
-        n_live = live.count()
+        live, n_live = _relabel(live, roots, n_live)
     return Contraction(rounds)
 
 
 def _hooks(live: DataFrame, rank: list[str]) -> DataFrame:
     """One row per component: the neighbour it joins and the edge it uses."""
-    ends = F.inline(
-        F.array(
-            F.struct(F.col("a").alias("comp"), F.col("b").alias("other")),
-            F.struct(F.col("b").alias("comp"), F.col("a").alias("other")),
-        )
-    )
+    edge = ", ".join([*rank, "other"])
     best = (
-        live.select(ends, *rank)
+        live.selectExpr("inline(array(struct(a AS comp, b AS other), struct(b AS comp, a AS other)))", *rank)
         .groupBy("comp")
-        .agg(F.min(F.struct(*rank, "other")).alias("best"))
-        .select("comp", "best.*")
+        .agg(F.expr(f"min(struct({edge})) AS best"))
+        .selectExpr("comp", "best.*")
     )
     # Two components that pick each other meet in one group of this aggregate.
-    low, high = F.least("comp", "other"), F.greatest("comp", "other")
-    pairs = best.groupBy(low.alias("low"), high.alias("high")).agg(
-        F.count("*").alias("n"),
-        F.min("comp").alias("owner"),
-        *[F.min(c).alias(c) for c in rank],
+    pairs = best.groupBy(
+        F.expr("least(comp, other) AS low"), F.expr("greatest(comp, other) AS high")
+    ).agg(
+        F.expr("count(*) AS n"),
+        F.expr("min(comp) AS owner"),
+        *[F.expr(f"min({c}) AS {c}") for c in rank],
     )
-    other_end = F.when(F.col("owner") == F.col("low"), F.col("high")).otherwise(F.col("low"))
-    mutual = F.array(
-        F.struct(F.col("high").alias("comp"), F.col("low").alias("parent")),
-        F.struct(F.col("low").alias("comp"), F.col("low").alias("parent")),
+    return pairs.selectExpr(
+        """inline(CASE
+            WHEN n = 2 THEN array(struct(high AS comp, low AS parent), struct(low AS comp, low AS parent))
+            ELSE array(struct(owner AS comp, if(owner = low, high, low) AS parent)) END)""",
+        *rank,
     )
-    single = F.array(F.struct(F.col("owner").alias("comp"), other_end.alias("parent")))
-    return pairs.select(F.inline(F.when(F.col("n") == 2, mutual).otherwise(single)), *rank)
 
 
-def _jump_to_roots(hooks: DataFrame) -> DataFrame:
-    """Follow parents to the root by doubling; ``(comp, root)``."""
+def _jump_to_roots(hooks: DataFrame, n_hooks: int) -> DataFrame:
+    """Follow parents to the root by pointer jumping; ``(comp, root)``."""
+    # A small table climbs twice per job, as there the job costs more than the join.
+    climbs = 2 if n_hooks <= skew.HOT_FLOOR else 1
     rows = hooks
-    n_rows = rows.count()
     while True:
-        above = rows.select(F.col("comp").alias("parent"), F.col("parent").alias("grand"))
-        step = lookup_join(rows, above, "parent", n_rows=n_rows).select(
-            "comp",
-            F.col("grand").alias("parent"),
-            (F.col("grand") != F.col("parent")).alias("moved"),
-        )
-        step = freeze(step, "jump")
-        rows = step.select("comp", "parent")
-        if step.filter("moved").isEmpty():
+        above = rows.selectExpr("comp AS parent", "parent AS grand")
+        step = rows
+        for _ in range(climbs):
+            step = lookup_join(step, above, "parent", n_rows=n_hooks).selectExpr(
+                "comp", "parent AS below", "grand AS parent"
+            )
+        rows, n_moving = freeze_counting(step, "jump", F.expr("parent <> below"))
+        rows = rows.select("comp", "parent")
+        if not n_moving:
             return rows.withColumnRenamed("parent", "root")
 
 
-def _relabel(live: DataFrame, roots: DataFrame, n_live: int) -> DataFrame:
+def _relabel(live: DataFrame, roots: DataFrame, n_live: int) -> tuple[DataFrame, int]:
     """Replace components by their roots and drop edges inside one component."""
     for end in ("a", "b"):
-        names = roots.select(F.col("comp").alias(end), F.col("root").alias("_root"))
+        names = roots.selectExpr(f"comp AS {end}", "root AS _root")
         live = lookup_join(live, names, end, n_rows=n_live).drop(end)
         live = live.withColumnRenamed("_root", end)
         if end == "a" and n_live > skew.HOT_FLOOR:
             live = freeze(live, "half")
-    return freeze(live.filter("a <> b"), "live")
+    return freeze_counting(live.filter("a <> b"), "live")

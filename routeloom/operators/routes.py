@@ -41,8 +41,9 @@ def average_edges(routes: DataFrame, distinct: bool = True) -> DataFrame:
 def paired_delays_sql(spark: SparkSession, routes: DataFrame) -> DataFrame:
     """Distinct delays of each pair, kept in one direction, by SQL over a temporary view.
 
-    The ``NOT EXISTS`` branch keeps a pair whose reverse is missing.  The view
-    holds every record in both directions, so that branch never adds a row.
+    The ``NOT EXISTS`` branch keeps a pair whose reverse is missing; as every
+    record counts in both directions, it never adds a row.  Pairs are compared
+    once each, however many delays they have.
     """
     routes.select("origin_id", "destination_id", "departure_delay").createOrReplaceTempView(
         "routeloom_delays"
@@ -50,17 +51,21 @@ def paired_delays_sql(spark: SparkSession, routes: DataFrame) -> DataFrame:
     return spark.sql(
         """
         WITH both_ways AS (
-            SELECT origin_id, destination_id, departure_delay FROM routeloom_delays
-            UNION ALL
+            SELECT DISTINCT origin_id, destination_id, departure_delay FROM routeloom_delays
+            UNION
             SELECT destination_id, origin_id, departure_delay FROM routeloom_delays
         ),
-        pairs AS (SELECT DISTINCT origin_id, destination_id FROM both_ways)
-        SELECT DISTINCT t.origin_id, t.destination_id, t.departure_delay
+        pairs AS (SELECT DISTINCT origin_id, destination_id FROM both_ways),
+        kept AS (
+            SELECT p.origin_id, p.destination_id FROM pairs p
+            WHERE p.origin_id < p.destination_id
+               OR NOT EXISTS (
+                    SELECT 1 FROM pairs r
+                    WHERE r.origin_id = p.destination_id AND r.destination_id = p.origin_id))
+        SELECT t.origin_id, t.destination_id, t.departure_delay
         FROM both_ways t
-        WHERE t.origin_id < t.destination_id
-           OR NOT EXISTS (
-                SELECT 1 FROM pairs r
-                WHERE r.origin_id = t.destination_id AND r.destination_id = t.origin_id)
+        LEFT SEMI JOIN kept k
+          ON t.origin_id = k.origin_id AND t.destination_id = k.destination_id
         """
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from routeloom.operators.arcs import ArcTable
 from routeloom.operators.contraction import contract
 from routeloom.operators.routes import symmetric
-from routeloom.workspace import freeze
+from routeloom.workspace import freeze, freeze_counting
 
 TREE_COLUMNS = "parent bigint, vertex bigint, edge_weight double, dist double"
 EDGE_COLUMNS = "src bigint, dst bigint, weight double"
@@ -58,47 +58,55 @@ def shortest_path_tree(
 
 
 def _start(spark, source: int) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(source).cast("bigint").alias("vertex"),
-        F.lit(0.0).alias("dist"),
-        F.lit(0).alias("hops"),
-        F.lit(None).cast("bigint").alias("parent"),
-        F.lit(None).cast("double").alias("edge_weight"),
-        F.lit(True).alias("fresh"),
+    return spark.range(1).selectExpr(
+        f"CAST({source} AS BIGINT) AS vertex",
+        "0D AS dist",
+        "0 AS hops",
+        "CAST(NULL AS BIGINT) AS parent",
+        "CAST(NULL AS DOUBLE) AS edge_weight",
+        "true AS fresh",
     )
 
 
 def _relax(arcs: ArcTable, start: DataFrame) -> DataFrame:
     """Send improved distances to neighbours until nothing improves."""
+    # In a small graph a job costs more than a step, so each job takes two.
+    steps = 2 if arcs.is_small else 1
     best = start
     while True:
-        frontier = best.filter("fresh").select(F.col("vertex").alias("src"), "dist", "hops")
-        offers = arcs.send(frontier).select(
-            F.col("dst").alias("vertex"),
-            (F.col("dist") + F.col("weight")).alias("dist"),
-            (F.col("hops") + 1).alias("hops"),
-            F.col("src").alias("parent"),
-            F.col("weight").alias("edge_weight"),
-            F.lit(True).alias("fresh"),
-        )
-        held = F.when(~F.col("fresh"), F.struct("dist", "hops"))
-        merged = (
-            best.withColumn("fresh", F.lit(False))
-            .unionByName(offers)
-            .groupBy("vertex")
-            .agg(
-                F.min(F.struct("dist", "hops", "parent", "edge_weight")).alias("new"),
-                F.min(held).alias("old"),
-            )
+        for _ in range(steps):
+            best = _relax_once(arcs, best)
+        best, n_fresh = freeze_counting(best, "best", F.col("fresh"))
+        if not n_fresh:
+            return best
+
+
+def _relax_once(arcs: ArcTable, best: DataFrame) -> DataFrame:
+    """One step from the ``fresh`` vertices; marks those that improved."""
+    frontier = best.where("fresh").selectExpr("vertex AS src", "dist", "hops")
+    offers = arcs.send(frontier).selectExpr(
+        "dst AS vertex",
+        "dist + weight AS dist",
+        "hops + 1 AS hops",
+        "src AS parent",
+        "weight AS edge_weight",
+        "true AS fresh",
+    )
+    held = best.selectExpr("vertex", "dist", "hops", "parent", "edge_weight", "false AS fresh")
+    return (
+        held.union(offers)
+        .groupBy("vertex")
+        .agg(
+            F.expr("min(struct(dist, hops, parent, edge_weight)) AS new"),
+            F.expr("min(if(fresh, null, struct(dist, hops))) AS old"),
         )
-        nearer = F.col("new.dist") < F.col("old.dist")
-        shorter = (F.col("new.dist") == F.col("old.dist")) & (
-            F.col("new.hops") < F.col("old.hops")
+        .selectExpr(
+            "vertex",
+            "new.*",
+            "old IS NULL OR new.dist < old.dist"
+            " OR (new.dist = old.dist AND new.hops < old.hops) AS fresh",
         )
-        improved = F.col("old").isNull() | nearer | shorter
-        best = freeze(merged.select("vertex", "new.*", improved.alias("fresh")), "best")
-        if best.filter("fresh").isEmpty():
-            return best
+    )
 
 
 def minimum_spanning_forest(edges: DataFrame) -> DataFrame:

@@ -34,6 +34,26 @@ def short_user_edges(spark: SparkSession, folder: str) -> DataFrame:
     return user_edges(spark, folder).filter("weight <= 100")
 
 
+def _spanned(spark, folder):
+    """The nation graph and its spanning tree."""
+    edges = freeze(nation_edges(spark, folder), "edges")
+    return edges, trees.minimum_spanning_forest(edges)
+
+
+def tree_complement(spark, folder):
+    return analysis.tree_complement(*_spanned(spark, folder))
+
+
+def complement_strength(spark, folder):
+    return analysis.complement_strength(tree_complement(spark, folder))
+
+
+def scaled_edges(spark, folder):
+    edges, tree = _spanned(spark, folder)
+    strength = analysis.complement_strength(analysis.tree_complement(edges, tree))
+    return analysis.scale_vertex(edges, analysis.bottleneck(strength), FACTOR)
+
+
 def _report(spark, folder, mode="mst"):
     return delay_report(nation_edges(spark, folder), FACTOR, mode)
 
@@ -136,11 +156,11 @@ QUERIES = {
     "mst_lead_times": lambda s, d: trees.minimum_spanning_forest(
         routes.average_edges(nation_lead_times(s, d))
     ),
-    "tree_complement": lambda s, d: _report(s, d).complement,
-    "complement_strength": lambda s, d: _rounded(_report(s, d).strength),
-    "bottleneck": lambda s, d: _rounded(_report(s, d).worst),
-    "scaled_edges": lambda s, d: _report(s, d).scaled,
-    "mst_after": lambda s, d: trees.as_edges(_report(s, d).after),
+    "tree_complement": tree_complement,
+    "complement_strength": lambda s, d: _rounded(complement_strength(s, d)),
+    "bottleneck": lambda s, d: _rounded(analysis.bottleneck(complement_strength(s, d))),
+    "scaled_edges": scaled_edges,
+    "mst_after": lambda s, d: trees.minimum_spanning_forest(scaled_edges(s, d)),
     "spt_after": lambda s, d: _report(s, d, "spt").after,
     "tree_weight": tree_weight,
     "tree_diff": lambda s, d: _report(s, d).diff,

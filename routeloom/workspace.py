@@ -11,7 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,6 +42,30 @@ def freeze(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def freeze_counting(df: DataFrame, name: str, where: Column | None = None) -> tuple[DataFrame, int]:
+    """As :func:`freeze`, also counting the rows (that satisfy ``where``) in the same job."""
+    counted = F.count("*") if where is None else F.count_if(where)
+    seen = Observation()
+    frozen = freeze(df.observe(seen, counted.alias("n")), name)
+    return frozen, seen.get["n"]
+
+
+#: Rows per task below which splitting a small table further gains nothing.
+TASK_ROWS = 10_000
+
+
+def spread(df: DataFrame, n_rows: int, *by: str) -> DataFrame:
+    """Store a small table in one piece per core, as loops read it many times.
+
+    A large table already has many pieces and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    pieces = n_rows // TASK_ROWS
+    if not 1 < pieces <= cores * 100:
+        return df
+    return freeze(df.repartition(min(pieces, cores), *by), "spread")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Checkpoint ``df``, keeping its partitioning and sort order for later joins."""
     shared = shared_folder(df.sparkSession)
