@@ -112,7 +112,7 @@ def _jump_to_roots(hooks: DataFrame, n_hooks: int) -> DataFrame:
             step = lookup_join(step, above, "parent", n_rows=n_hooks).selectExpr(
                 "comp", "parent AS below", "grand AS parent"
             )
-        rows, n_moving = freeze_counting(step, "jump", F.expr("parent <> below"))
+        rows, n_moving = freeze_counting(step, "jump", "parent <> below")
         rows = rows.select("comp", "parent")
         if not n_moving:
             return rows.withColumnRenamed("parent", "root")

@@ -76,7 +76,7 @@ def _relax(arcs: ArcTable, start: DataFrame) -> DataFrame:
     while True:
         for _ in range(steps):
             best = _relax_once(arcs, best)
-        best, n_fresh = freeze_counting(best, "best", F.col("fresh"))
+        best, n_fresh = freeze_counting(best, "best", "fresh")
         if not n_fresh:
             return best
 

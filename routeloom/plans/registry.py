@@ -6,9 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from routeloom.plans import graph_queries, network_queries, statistic_queries, table_queries
-
-_MODULES = (graph_queries, network_queries, table_queries, statistic_queries)
+from routeloom.plans import (
+    graph_queries,
+    model_queries,
+    network_queries,
+    statistic_queries,
+    table_queries,
+)
+
+_MODULES = (graph_queries, network_queries, table_queries, statistic_queries, model_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
