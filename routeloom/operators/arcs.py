@@ -5,37 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routeloom.workspace import freeze, settle, spread
+from routeloom.sources.formats import bucketed, drop_table
+from routeloom.workspace import freeze, spread
 
 #: Arc tables up to this size are left to the planner; larger ones get a fixed layout.
 LAYOUT_FLOOR = 5_000_000
 
-#: Arcs per partition of a fixed layout.
-PARTITION_ROWS = 2_000_000
+#: Arcs per bucket of a fixed layout.
+BUCKET_ROWS = 2_000_000
+
+#: Spark's own limit on the buckets of a table.
+MAX_BUCKETS = 100_000
 
 
 class ArcTable:
     """``arcs(src, dst, ...)``, stored once and joined to vertex rows every round.
 
-    A large table is partitioned and sorted by ``(src, shard)`` once, so a round
-    moves only the vertex rows.  A hub, a vertex with more arcs than an average
-    partition, is cut into shards over its neighbours; there are fewer hubs than
-    partitions, which bounds the table that is broadcast.
+    A large table is bucketed by ``(src, shard)``, so a round moves only the
+    vertex rows.  A hub, a vertex with more arcs than an average bucket, is cut
+    into shards over its neighbours; there are fewer hubs than buckets, which
+    bounds the table that is broadcast.  Use it in a ``with`` block, which takes
+    the bucketed table out of the catalog at its end.
     """
 
     def __init__(self, arcs: DataFrame, n_arcs: int):
-        spark = arcs.sparkSession
-        self.hubs = None
-        self.arcs = arcs
+        self.spark = arcs.sparkSession
         self.is_small = n_arcs <= LAYOUT_FLOOR
+        self.name = None
         if self.is_small:
             self.arcs = spread(arcs, n_arcs, "dst")
             return
-        parts = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_arcs // PARTITION_ROWS)
-        )
-        share = -(-n_arcs // parts)
-        degrees = arcs.groupBy("src").count().filter(F.col("count") > share)
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(max(tasks, -(-n_arcs // BUCKET_ROWS)), MAX_BUCKETS)
+        share = -(-n_arcs // buckets)
+        degrees = arcs.groupBy("src").count().where(F.col("count") > share)
         self.hubs = freeze(
             degrees.select("src", F.ceil(F.col("count") / share).cast("int").alias("shards")),
             "hubs",
@@ -45,19 +48,26 @@ class ArcTable:
             arcs.join(F.broadcast(self.hubs), "src", "left")
             .withColumn("shard", shard)
             .drop("shards")
-            .repartition(parts, "src", "shard")
-            .sortWithinPartitions("src", "shard")
+            .repartition(buckets, "src", "shard")
         )
-        self.arcs = settle(laid)
+        self.name = bucketed(laid, ["src", "shard"], buckets, ["src", "shard"])
+        self.arcs = self.spark.table(self.name)
+
+    def __enter__(self) -> ArcTable:
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.name:
+            drop_table(self.spark, self.name)
 
     def send(self, rows: DataFrame) -> DataFrame:
         """Pair every row, keyed by ``src``, with each arc leaving that vertex."""
         if self.is_small:
             return rows.join(self.arcs, "src")
         copies = F.explode(F.sequence(F.lit(0), F.coalesce("shards", F.lit(1)) - 1))
-        spread = (
+        spread_rows = (
             rows.join(F.broadcast(self.hubs), "src", "left")
             .withColumn("shard", copies)
             .drop("shards")
         )
-        return spread.join(self.arcs, ["src", "shard"]).drop("shard")
+        return spread_rows.join(self.arcs, ["src", "shard"]).drop("shard")

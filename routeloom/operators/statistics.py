@@ -109,8 +109,8 @@ def column_cosine(df: DataFrame, column: str) -> DataFrame:
     def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
         for batch in batches:
-            rows = np.array(batch[column].tolist(), dtype="float64")
-            if len(rows):
+            if len(batch):
+                rows = np.stack(batch[column].to_numpy()).astype("float64")
                 total = rows.T @ rows if total is None else total + rows.T @ rows
         if total is not None:
             i, j = np.triu_indices(len(total))

@@ -44,8 +44,8 @@ def shortest_path_tree(
     if source is None:
         tree = spark.createDataFrame([], TREE_COLUMNS)
     else:
-        arcs = ArcTable(symmetric(edges), 2 * facts["n"])
-        tree = _relax(arcs, _start(spark, source)).filter(F.col("vertex") != source)
+        with ArcTable(symmetric(edges), 2 * facts["n"]) as arcs:
+            tree = _relax(arcs, _start(spark, source)).filter(F.col("vertex") != source)
         tree = tree.select("parent", "vertex", "edge_weight", "dist")
     if keep_unreached:
         known = symmetric(edges).select(F.col("src").alias("vertex")).distinct()

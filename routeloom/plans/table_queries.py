@@ -6,10 +6,17 @@ from pyspark.sql import functions as F
 
 from routeloom.functions.vectorised import centred, grouped_mean, multiply, with_group_mean
 from routeloom.operators.words import word_counts, word_total
-from routeloom.sources.formats import bucketed, merged, read_by_sql, round_trip, write_table
+from routeloom.sources.formats import (
+    bucketed,
+    drop_table,
+    merged,
+    read_by_sql,
+    round_trip,
+    write_table,
+)
 from routeloom.sources.tables import table
 from routeloom.streaming.words import count_stream, running_total, text_stream
-from routeloom.workspace import new_path
+from routeloom.workspace import freeze, new_path
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -92,15 +99,19 @@ def roundtrip_partitioned(spark, folder):
 
 
 def roundtrip_bucketed(spark, folder):
-    line = bucketed(_line(spark, folder), ["l_orderkey"], 8, ["l_orderkey"])
-    orders = bucketed(
-        table(spark, folder, "orders").select("o_orderkey", "o_totalprice"),
-        ["o_orderkey"], 8, ["o_orderkey"],
-    )
-    joined = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.groupBy("l_orderkey").agg(
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    left = bucketed(_line(spark, folder), ["l_orderkey"], 8, ["l_orderkey"])
+    right = bucketed(orders, ["o_orderkey"], 8, ["o_orderkey"])
+    joined = spark.table(left).join(
+        spark.table(right), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    totals = joined.groupBy("l_orderkey").agg(
         F.max("o_totalprice").alias("price"), F.sum("l_quantity").alias("quantity")
     )
+    stored = freeze(totals, "totals")
+    drop_table(spark, left)
+    drop_table(spark, right)
+    return stored
 
 
 def file_by_sql(spark, folder):

@@ -60,13 +60,17 @@ def read_by_sql(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.sql(f"SELECT * FROM {fmt}.`{path}`")
 
 
-def bucketed(df: DataFrame, by: list[str], buckets: int, sort_by: list[str]) -> DataFrame:
-    """Write a bucketed, sorted table and return it; joins on ``by`` need no shuffle."""
-    spark = df.sparkSession
+def bucketed(df: DataFrame, by: list[str], buckets: int, sort_by: list[str]) -> str:
+    """Write a bucketed, sorted table and return its name; joins on ``by`` need no shuffle."""
     name = f"routeloom_{uuid.uuid4().hex}"
     writer = df.write.bucketBy(buckets, *by).sortBy(*sort_by)
-    writer.option("path", new_path(spark, "bucketed")).saveAsTable(name)
-    return spark.table(name)
+    writer.option("path", new_path(df.sparkSession, "bucketed")).saveAsTable(name)
+    return name
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Take a table out of the catalog; its files stay where they are."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def merged(parts: dict[str, DataFrame], key: str = "part") -> DataFrame:

@@ -61,12 +61,3 @@ def spread(df: DataFrame, n_rows: int, *by: str) -> DataFrame:
     if not 1 < pieces <= cores * 100:
         return df
     return freeze(df.repartition(min(pieces, cores), *by), "spread")
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df``, keeping its partitioning and sort order for later joins."""
-    shared = shared_folder(df.sparkSession)
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared)
-    return df.checkpoint(eager=True)
