@@ -51,9 +51,11 @@ def paired_delays_sql(spark: SparkSession, routes: DataFrame) -> DataFrame:
     return spark.sql(
         """
         WITH both_ways AS (
-            SELECT DISTINCT origin_id, destination_id, departure_delay FROM routeloom_delays
-            UNION
-            SELECT destination_id, origin_id, departure_delay FROM routeloom_delays
+            SELECT DISTINCT way.origin_id, way.destination_id, departure_delay
+            FROM routeloom_delays LATERAL VIEW inline(array(
+                struct(origin_id AS origin_id, destination_id AS destination_id),
+                struct(destination_id AS origin_id, origin_id AS destination_id)
+            )) way AS origin_id, destination_id
         ),
         pairs AS (SELECT DISTINCT origin_id, destination_id FROM both_ways),
         kept AS (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from routeloom.functions.skew import lookup_join
 from routeloom.workspace import freeze, freeze_counting
 
-#: Members of a bucket that one task compares with each other.
+#: Members of a bucket per block.
 BLOCK = 2_000
 
 
@@ -52,45 +54,67 @@ def similar_pairs(
 
     Gives ``(id_a, id_b, distance, copies_a, copies_b)``.  Equal vectors are
     compared once and counted, so copies do not multiply.  A large bucket is
-    cut into blocks, and each pair of blocks is one unit of work; only pairs
-    below the threshold leave the join, each from the first table it meets in.
+    cut into blocks, and each pair of blocks is a group of its own; only pairs
+    below the threshold leave it, each from the first table it meets in.
     """
-    vectors = freeze(_bucketed(distinct_vectors(df, key, column), bucket_length, tables, seed), "vectors")
+    distinct = freeze(distinct_vectors(df, key, column), "distinct")
     members, n_members = freeze_counting(
-        vectors.select(
-            "id", "copies", "vector", "buckets", F.posexplode("buckets").alias("table", "bucket")
-        ).withColumn("cell", F.struct("table", "bucket")),
+        _bucketed(distinct, bucket_length, tables, seed)
+        .select("id", "copies", "vector", "buckets", F.posexplode("buckets").alias("table", "bucket"))
+        .withColumn("cell", F.struct("table", "bucket")),
         "members",
     )
-    cells = freeze(
-        members.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "cells"
-    )
+    shared = members.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    cells = freeze(shared.select("cell", F.ceil(F.col("n") / BLOCK).alias("blocks")), "cells")
     placed = lookup_join(members, cells, "cell", n_rows=n_members).withColumn(
-        "block", F.expr("CAST(pmod(xxhash64(id), blocks) AS INT)")
+        "block", F.expr("pmod(xxhash64(id), blocks)")
     )
-    a = placed.selectExpr(
-        "cell", "block AS p", "explode(sequence(block, blocks - 1)) AS q",
-        "id AS id_a", "copies AS copies_a", "vector AS vector_a", "buckets AS buckets_a",
-    )
-    b = placed.selectExpr(
-        "cell", "explode(sequence(0, block)) AS p", "block AS q",
-        "id AS id_b", "copies AS copies_b", "vector AS vector_b", "buckets AS buckets_b",
+    # Every pair of blocks, and each block with itself, is one group of two blocks at most.
+    units = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "table", "bucket", "block", "id", "copies", "vector", "buckets",
+        F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
     )
-    once = F.expr("p < q OR id_a < id_b")
-    met_before = F.expr(
-        "exists(slice(zip_with(buckets_a, buckets_b, (x, y) -> x = y), 1, cell.table), met -> met)"
+
+    def near(unit: pd.DataFrame) -> pd.DataFrame:
+        return _near(unit, threshold)
+
+    return units.groupBy("table", "bucket", "p", "q").applyInPandas(
+        near, "id_a bigint, id_b bigint, distance double, copies_a bigint, copies_b bigint"
     )
-    distance = euclidean(F.col("vector_a"), F.col("vector_b"))
-    return (
-        a.join(b, ["cell", "p", "q"])
-        .where(once & ~met_before & (distance < threshold))
-        .select(
-            F.least("id_a", "id_b").alias("id_a"),
-            F.greatest("id_a", "id_b").alias("id_b"),
-            distance.alias("distance"),
-            F.expr("if(id_a < id_b, copies_a, copies_b)").alias("copies_a"),
-            F.expr("if(id_a < id_b, copies_b, copies_a)").alias("copies_b"),
-        )
+
+
+def _near(unit: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Pairs below the threshold between two blocks, or within one."""
+    unit = unit.sort_values("id")
+    low, high = unit["p"].iloc[0], unit["q"].iloc[0]
+    ids = unit["id"].to_numpy()
+    points = np.stack(unit["vector"].to_numpy())
+    buckets = np.stack(unit["buckets"].to_numpy())
+    first = np.flatnonzero(unit["block"].to_numpy() == low)
+    second = np.flatnonzero(unit["block"].to_numpy() == high)
+    lengths = (points * points).sum(axis=1)
+    rough = lengths[first][:, None] + lengths[second][None, :] - 2 * points[first] @ points[second].T
+    # The product form loses some digits, so it only sorts out what is clearly too far.
+    slack = 1e-9 * (1 + lengths.max())
+    x, y = np.nonzero(rough < threshold * threshold + slack)
+    a, b = first[x], second[y]
+    if low == high:
+        a, b = a[x < y], b[x < y]
+    distance = np.sqrt(((points[a] - points[b]) ** 2).sum(axis=1))
+    table = int(unit["table"].iloc[0])
+    met_before = (buckets[a, :table] == buckets[b, :table]).any(axis=1)
+    keep = (distance < threshold) & ~met_before
+    # Rows are in id order, so the smaller position has the smaller id.
+    left, right = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
+    copies = unit["copies"].to_numpy()
+    return pd.DataFrame(
+        {
+            "id_a": ids[left],
+            "id_b": ids[right],
+            "distance": distance[keep],
+            "copies_a": copies[left],
+            "copies_b": copies[right],
+        }
     )
 
 

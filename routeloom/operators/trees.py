@@ -45,7 +45,7 @@ def shortest_path_tree(
         tree = spark.createDataFrame([], TREE_COLUMNS)
     else:
         with ArcTable(symmetric(edges), 2 * facts["n"]) as arcs:
-            tree = _relax(arcs, _start(spark, source)).filter(F.col("vertex") != source)
+            tree = _relax(arcs, _start(arcs, source)).filter(F.col("vertex") != source)
         tree = tree.select("parent", "vertex", "edge_weight", "dist")
     if keep_unreached:
         known = symmetric(edges).select(F.col("src").alias("vertex")).distinct()
@@ -57,15 +57,25 @@ def shortest_path_tree(
     return tree
 
 
-def _start(spark, source: int) -> DataFrame:
-    return spark.range(1).selectExpr(
+def _start(arcs: ArcTable, source: int) -> DataFrame:
+    """The source and, one edge away, its neighbours."""
+    own = arcs.spark.range(1).selectExpr(
         f"CAST({source} AS BIGINT) AS vertex",
         "0D AS dist",
         "0 AS hops",
         "CAST(NULL AS BIGINT) AS parent",
         "CAST(NULL AS DOUBLE) AS edge_weight",
+        "false AS fresh",
+    )
+    near = arcs.arcs.where(F.col("src") == source).selectExpr(
+        "dst AS vertex",
+        "0D + weight AS dist",
+        "1 AS hops",
+        "src AS parent",
+        "weight AS edge_weight",
         "true AS fresh",
     )
+    return own.union(near)
 
 
 def _relax(arcs: ArcTable, start: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routeloom.functions.ordering import dense_index
+from routeloom.functions.skew import lookup_join
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,20 +18,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _shipments(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
-    """Line items with the nations they travel between."""
+    """Line items with the nations they travel between.
+
+    Orders meet their buyers first, so the line items move once for their
+    order; those of a supplier that sells a large share do not move for it.
+    """
     line = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders")
+    sellers = table(spark, folder, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey")
     buyers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    sellers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    return (
-        line.join(orders, line.l_orderkey == orders.o_orderkey)
-        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.col("s_nationkey").cast("long").alias("origin_id"),
-            F.col("c_nationkey").cast("long").alias("destination_id"),
-            *extra,
-        )
+    orders = table(spark, folder, "orders")
+    placed = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    sold = lookup_join(line, sellers, "l_suppkey")
+    return sold.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("s_nationkey").cast("long").alias("origin_id"),
+        F.col("c_nationkey").cast("long").alias("destination_id"),
+        *extra,
     )
 
 

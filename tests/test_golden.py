@@ -18,6 +18,7 @@ from routeloom.operators.trees import (
     shortest_path_tree,
 )
 from routeloom.plans.delay_report import delay_report
+from routeloom.plans.flight_job import analyse_flights, choose_factor
 
 FLIGHTS = [
     (10721, 12892, 1.0), (10721, 12892, 2.0), (10721, 12892, 3.0), (12478, 10721, 4.0),
@@ -131,3 +132,25 @@ def test_removed_and_added_edges_show_in_the_diff(spark):
     after = spark.createDataFrame([(1, 2, 1.0), (1, 3, 0.5)], "src long, dst long, weight double")
     got = {(r.src, r.dst): r.status for r in tree_diff(before, after).collect()}
     assert got == {(1, 2): "kept", (2, 3): "removed", (1, 3): "added"}
+
+
+@pytest.mark.parametrize("mode", ["mst", "spt"])
+def test_from_file_to_report(spark, tmp_path, mode):
+    path = tmp_path / "flights.csv"
+    lines = [
+        f"1,2,AA,N1,12,{a},A,{b},B,600,605,{delay},900,,,300,77" for a, b, delay in FLIGHTS
+    ]
+    path.write_text("\n".join(lines) + "\n")
+    index, report = analyse_flights(spark, str(path), 0.5, mode, source=33333)
+    assert index.count() == 6
+    rows = report.rows().collect()
+    totals = {r.section: r.value for r in rows if r.section.startswith("total")}
+    assert totals == {"total_before": 330.0, "total_after": 327.5}
+    assert [(r.src, r.value) for r in rows if r.section == "bottleneck"] == [(33333, 915.0)]
+
+
+def test_factor_choice():
+    assert choose_factor(0.25) == 0.25
+    assert 0 < choose_factor(None, 7) == choose_factor(None, 7) < 1
+    with pytest.raises(ValueError):
+        choose_factor(1.0)
