@@ -11,41 +11,39 @@ from routeloom.workspace import freeze, freeze_counting, spread
 
 
 class Contraction:
-    """Result of :func:`contract`.
+    """Result of :func:`contract`: what every round picked and where it led.
 
-    ``rounds`` holds one table ``(comp, parent, root, edge...)`` per round;
-    ``comp`` is a component of that round, ``parent`` the neighbour it joined
-    and ``root`` the component it ended up in.
+    ``hooks`` has a table ``(comp, parent, edge...)`` per round, the neighbour
+    each component joined; ``ends`` has ``(comp, root)``, the component it ended
+    up in.
     """
 
-    def __init__(self, rounds: list[DataFrame]):
-        self.rounds = rounds
+    def __init__(self) -> None:
+        self.hooks: list[DataFrame] = []
+        self.ends: list[DataFrame] = []
 
     def picked(self, columns: list[str]) -> DataFrame | None:
         """The edges that joined two components, each once."""
         chosen = None
-        for step in self.rounds:
-            rows = step.filter("comp <> parent").select(*columns)
+        for hooks in self.hooks:
+            rows = hooks.where("comp <> parent").select(*columns)
             chosen = rows if chosen is None else chosen.unionByName(rows)
         return chosen
 
     def roots(self) -> DataFrame | None:
-        """Final component of every vertex that has an edge.
+        """Final component of every vertex that has an edge, as ``(comp, root)``.
 
         Resolved from the last round back to the first: each round has at most
         half the components of the one before, so the work is a geometric sum.
         """
         final = None
-        for step in reversed(self.rounds):
-            own = step.select("comp", "root")
+        for ends in reversed(self.ends):
             if final is None:
-                final = own
+                final = ends
                 continue
-            later = final.select(F.col("comp").alias("root"), F.col("root").alias("last"))
-            joined = lookup_join(own, later, "root", "left")
-            final = freeze(
-                joined.select("comp", F.coalesce("last", "root").alias("root")), "roots"
-            )
+            later = final.selectExpr("comp AS root", "root AS last")
+            joined = lookup_join(ends, later, "root", "left")
+            final = freeze(joined.selectExpr("comp", "coalesce(last, root) AS root"), "roots")
         return final
 
 
@@ -66,13 +64,14 @@ def contract(edges: DataFrame, rank: list[str]) -> Contraction:
         "live",
     )
     live = spread(live, n_live)
-    rounds = []
+    done = Contraction()
     while n_live:
         hooks, n_hooks = freeze_counting(_hooks(live, rank), "hooks")
         roots = _jump_to_roots(hooks.select("comp", "parent"), n_hooks)
-        rounds.append(hooks.join(roots, "comp"))
+        done.hooks.append(hooks)
+        done.ends.append(roots)
         live, n_live = _relabel(live, roots, n_live)
-    return Contraction(rounds)
+    return done
 
 
 def _hooks(live: DataFrame, rank: list[str]) -> DataFrame:

@@ -24,15 +24,10 @@ def association_rules(
         "pairs",
     )
     n_baskets = pairs.select("basket").distinct().count()
-    frequent = freeze(
-        pairs.groupBy("item").count().where(F.col("count") >= min_support * n_baskets).select("item"),
-        "frequent",
-    )
-    # Baskets left without items still count towards every support.
-    kept = lookup_join(pairs, frequent, "item", "left_semi", n_pairs)
-    baskets = kept.groupBy("basket").agg(F.collect_set("item").alias("items"))
-    everything = pairs.select("basket").distinct().join(baskets, "basket", "left")
-    no_items = F.array().cast("array<string>")
-    sets = freeze(everything.select(F.coalesce("items", no_items).alias("items")), "baskets")
+    counts = pairs.groupBy("item").count().where(F.col("count") >= min_support * n_baskets)
+    frequent = freeze(counts.select("item", F.col("item").alias("kept")), "frequent")
+    # A basket left without items still counts towards every support.
+    marked = lookup_join(pairs, frequent, "item", "left", n_pairs)
+    sets = freeze(marked.groupBy("basket").agg(F.collect_set("kept").alias("items")), "baskets")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(sets)
     return model.associationRules

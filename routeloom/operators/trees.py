@@ -144,7 +144,7 @@ def as_edges(tree: DataFrame) -> DataFrame:
     )
 
 
-def reference_rows(tree: DataFrame, source: int) -> DataFrame:
+def reference_rows(tree: DataFrame, source: int | None) -> DataFrame:
     """Tree rows ``(from_index, index, distance)`` with the source's own row.
 
     ``tree`` comes from ``keep_unreached=True``; a vertex without a path shows
@@ -155,6 +155,8 @@ def reference_rows(tree: DataFrame, source: int) -> DataFrame:
         F.col("vertex").alias("index"),
         F.coalesce("dist", F.lit(UNREACHED)).alias("distance"),
     )
+    if source is None:
+        return rows
     own = tree.sparkSession.range(1).select(
         F.lit(source).cast("bigint").alias("from_index"),
         F.lit(source).cast("bigint").alias("index"),

@@ -123,12 +123,10 @@ def tree_weight(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
-def report_rows(spark, folder):
-    return _report(spark, folder).rows().withColumn("value", F.round("value", 6))
-
-
-def report_rows_spt(spark, folder):
-    return _report(spark, folder, "spt").rows().withColumn("value", F.round("value", 6))
+def report_rows(spark, folder, mode="mst"):
+    rows = _report(spark, folder, mode).rows()
+    summed = ~F.col("section").startswith("tree")
+    return rows.withColumn("value", F.when(summed, F.round("value", 6)).otherwise(F.col("value")))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -166,7 +164,7 @@ QUERIES = {
     "tree_diff": lambda s, d: _report(s, d).diff,
     "tree_diff_spt": lambda s, d: _report(s, d, "spt").diff,
     "delay_report": report_rows,
-    "delay_report_spt": report_rows_spt,
+    "delay_report_spt": lambda s, d: report_rows(s, d, "spt"),
 }
 
 _NATION = (sql.NATION_ROUTES, sql.EDGES)
@@ -182,10 +180,10 @@ _SPT_AFTER = (
 )
 
 _REPORT = """
-    SELECT 'tree_before' AS section, src, dst, round(weight, 6) AS value FROM {before}
+    SELECT 'tree_before' AS section, src, dst, weight AS value FROM {before}
     UNION ALL SELECT 'total_before', NULL, NULL, round(sum(weight), 6) FROM {before}
     UNION ALL SELECT 'bottleneck', vertex, NULL, round(total, 6) FROM worst
-    UNION ALL SELECT 'tree_after', src, dst, round(weight, 6) FROM {after}
+    UNION ALL SELECT 'tree_after', src, dst, weight FROM {after}
     UNION ALL SELECT 'total_after', NULL, NULL, round(sum(weight), 6) FROM {after}"""
 
 SQL = {
@@ -251,7 +249,7 @@ rows_ AS (SELECT o.i AS oi, src, d.i AS di, dst, weight FROM edges
         select="""
         SELECT t.parent, i.id AS vertex, t.edge_weight, t.dist
         FROM ids i LEFT JOIN tree t ON t.vertex = i.id
-        WHERE i.id <> (SELECT vertex FROM tree_s0)""",
+        WHERE i.id IS DISTINCT FROM (SELECT vertex FROM tree_s0)""",
     ),
     "spt_compat_rows": sql.query(
         *_SPARSE,

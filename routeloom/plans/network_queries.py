@@ -51,9 +51,7 @@ def neighbor_mean(spark, folder):
         .groupBy(F.col("user_id").alias("vertex"))
         .agg(F.expr("CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) AS value"))
     )
-    return graph.neighbor_mean(graph.count_arcs(hops), values).withColumn(
-        "mean", F.round("mean", 6)
-    )
+    return graph.neighbor_mean(graph.count_arcs(hops), values)
 
 
 def subgraph_top5(spark, folder):
@@ -146,7 +144,7 @@ worth AS MATERIALIZED (
     SELECT user_id AS vertex, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) AS value
     FROM events GROUP BY user_id)""",
         select="""
-        SELECT a.dst AS vertex, round(sum(s.value * a.n) / sum(a.n), 6) AS mean
+        SELECT a.dst AS vertex, sum(s.value * a.n) / sum(a.n) AS mean
         FROM arcs a JOIN worth s ON s.vertex = a.src JOIN worth d ON d.vertex = a.dst
         WHERE s.value > d.value GROUP BY a.dst""",
     ),

@@ -74,9 +74,7 @@ def assoc_rules(spark, folder):
             "lift",
             "support",
         ),
-        "confidence",
         "lift",
-        "support",
     )
 
 
@@ -87,10 +85,7 @@ def _scored(spark, folder):
 
 
 def roc_points(spark, folder):
-    found = statistics.threshold_metrics(_scored(spark, folder), "score", "label")
-    return _round(
-        found.drop("pos", "neg"), "precision", "recall", "fall_out", "f1", "f_half", places=9
-    )
+    return statistics.threshold_metrics(_scored(spark, folder), "score", "label").drop("pos", "neg")
 
 
 def curve_areas(spark, folder):
@@ -136,27 +131,15 @@ def hash_features(spark, folder):
     return hashed.select(*KEY, F.col("features").cast("string").alias("features"))
 
 
-def _flat(df, column):
-    return df.select("vec_id", F.posexplode(column).alias("position", "x")).select(
-        "vec_id", "position", F.round("x", 6).alias("x")
-    )
-
-
 def scale_elements(spark, folder):
-    vectors = _embeddings(spark, folder)
-    return _flat(
-        vectors.select(
-            "vec_id",
-            F.transform(
-                features.scale_elements("embedding", WEIGHTS), lambda x: x.cast("double")
-            ).alias("scaled"),
-        ),
-        "scaled",
-    )
+    scaled = features.scale_elements("embedding", WEIGHTS)
+    return _embeddings(spark, folder).select("vec_id", F.posexplode(scaled).alias("position", "x"))
 
 
 def cosine_transform(spark, folder):
-    return _flat(features.cosine_transform(_embeddings(spark, folder), "embedding", "out"), "out")
+    transformed = features.cosine_transform(_embeddings(spark, folder), "embedding", "out")
+    rows = transformed.select("vec_id", F.posexplode("out").alias("position", "x"))
+    return _round(rows, "x")
 
 
 def describe(spark, folder):
@@ -298,16 +281,15 @@ SQL = {
             UNION ALL
             SELECT t.x || ',' || t.y, t.z, t.n, p.n
             FROM triples t JOIN pairs p ON p.x = t.x AND p.y = t.y)
-        SELECT antecedent, consequent, round(rules.n / base, 6) AS confidence,
+        SELECT antecedent, consequent, rules.n / base AS confidence,
                round((rules.n / base) / (s.n / total.n), 6) AS lift,
-               round(rules.n / total.n, 6) AS support
+               rules.n / total.n AS support
         FROM rules JOIN single s ON s.p_brand = consequent, total
         WHERE rules.n / base >= {MIN_CONFIDENCE}""",
     "roc_points": f"""{_CURVE}
-        SELECT threshold, tp, fp, round(tp / (tp + fp), 9) AS precision, round(tp / p, 9) AS recall,
-               round(fp / q, 9) AS fall_out,
-               round(2.0 * tp / (2.0 * tp + (p - tp) + fp), 9) AS f1,
-               round(1.25 * tp / (1.25 * tp + 0.25 * (p - tp) + fp), 9) AS f_half
+        SELECT threshold, tp, fp, tp / (tp + fp) AS precision, tp / p AS recall, fp / q AS fall_out,
+               2e0 * tp / (2e0 * tp + (p - tp) + fp) AS f1,
+               1.25e0 * tp / (1.25e0 * tp + 0.25e0 * (p - tp) + fp) AS f_half
         FROM sums""",
     "curve_areas": f"""{_CURVE},
         points AS (
@@ -329,7 +311,7 @@ SQL = {
     "count_vectorize": _TERMS.format(min_docs=MIN_DOCS, size=features.VOCABULARY),
     "count_vectorize_top3": _TERMS.format(min_docs=MIN_DOCS, size=3),
     "elementwise_product": f"""
-        SELECT vec_id, position, round(CAST(x AS DOUBLE) * w, 6) + 0 AS x
+        SELECT vec_id, position, CAST(x AS DOUBLE) * w AS x
         FROM (SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS position,
                      unnest(embedding) AS x,
                      unnest({WEIGHTS}::DOUBLE[]) AS w FROM embeddings)""",
