@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from routeloom.functions.skew import lookup_join
+from routeloom.workspace import freeze
 
 
 @F.pandas_udf(T.LongType())
@@ -42,7 +43,7 @@ def grouped_mean(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def with_group_mean(df: DataFrame, key: str, value: str) -> DataFrame:
     """Every row with the mean of its group, as an unbounded window would give it."""
-    return lookup_join(df, grouped_mean(df, key, value), key)
+    return lookup_join(df, freeze(grouped_mean(df, key, value), "means"), key)
 
 
 def centred(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -9,6 +9,9 @@ from routeloom.functions import skew
 from routeloom.functions.skew import lookup_join
 from routeloom.workspace import freeze, freeze_counting, spread
 
+#: Up to this many live edges, a job costs more than the data it moves.
+SMALL = 1_000_000
+
 
 class Contraction:
     """Result of :func:`contract`: what every round picked and where it led.
@@ -66,8 +69,8 @@ def contract(edges: DataFrame, rank: list[str]) -> Contraction:
     live = spread(live, n_live)
     done = Contraction()
     while n_live:
-        hooks, n_hooks = freeze_counting(_hooks(live, rank), "hooks")
-        roots = _jump_to_roots(hooks.select("comp", "parent"), n_hooks)
+        hooks = freeze(_hooks(live, rank), "hooks")
+        roots = _jump_to_roots(hooks.select("comp", "parent"), small=n_live <= SMALL)
         done.hooks.append(hooks)
         done.ends.append(roots)
         live, n_live = _relabel(live, roots, n_live)
@@ -77,8 +80,9 @@ def contract(edges: DataFrame, rank: list[str]) -> Contraction:
 def _hooks(live: DataFrame, rank: list[str]) -> DataFrame:
     """One row per component: the neighbour it joins and the edge it uses."""
     edge = ", ".join([*rank, "other"])
+    ends = "inline(array(struct(a AS comp, b AS other), struct(b AS comp, a AS other)))"
     best = (
-        live.selectExpr("inline(array(struct(a AS comp, b AS other), struct(b AS comp, a AS other)))", *rank)
+        live.selectExpr(ends, *rank)
         .groupBy("comp")
         .agg(F.expr(f"min(struct({edge})) AS best"))
         .selectExpr("comp", "best.*")
@@ -93,16 +97,18 @@ def _hooks(live: DataFrame, rank: list[str]) -> DataFrame:
     )
     return pairs.selectExpr(
         """inline(CASE
-            WHEN n = 2 THEN array(struct(high AS comp, low AS parent), struct(low AS comp, low AS parent))
+            WHEN n = 2
+            THEN array(struct(high AS comp, low AS parent), struct(low AS comp, low AS parent))
             ELSE array(struct(owner AS comp, if(owner = low, high, low) AS parent)) END)""",
         *rank,
     )
 
 
-def _jump_to_roots(hooks: DataFrame, n_hooks: int) -> DataFrame:
+def _jump_to_roots(hooks: DataFrame, small: bool) -> DataFrame:
     """Follow parents to the root by pointer jumping; ``(comp, root)``."""
-    # A small table climbs twice per job, as there the job costs more than the join.
-    climbs = 2 if n_hooks <= skew.HOT_FLOOR else 1
+    # A small table climbs four times per job, as there the job costs more than the joins.
+    climbs = 4 if small else 1
+    n_hooks = 0 if small else hooks.count()
     rows = hooks
     while True:
         above = rows.selectExpr("comp AS parent", "parent AS grand")
@@ -111,9 +117,9 @@ def _jump_to_roots(hooks: DataFrame, n_hooks: int) -> DataFrame:
             step = lookup_join(step, above, "parent", n_rows=n_hooks).selectExpr(
                 "comp", "parent AS below", "grand AS parent"
             )
-        rows, n_moving = freeze_counting(step, "jump", "parent <> below")
-        rows = rows.select("comp", "parent")
-        if not n_moving:
+        step = freeze(step, "jump")
+        rows = step.select("comp", "parent")
+        if step.where("parent <> below").isEmpty():
             return rows.withColumnRenamed("parent", "root")
 
 

@@ -101,7 +101,9 @@ class Recommender:
 def _tree_steps(numbers: list[str], categories: list[str], label: str | None):
     texts = categories + ([label] if label else [])
     named = [f"{c}_index" for c in texts]
-    steps = [StringIndexer(inputCols=texts, outputCols=named, handleInvalid="keep")] if texts else []
+    steps = []
+    if texts:
+        steps.append(StringIndexer(inputCols=texts, outputCols=named, handleInvalid="keep"))
     gathered = numbers + [f"{c}_index" for c in categories]
     steps.append(VectorAssembler(inputCols=gathered, outputCol="gathered"))
     steps.append(
@@ -141,11 +143,13 @@ def tree_regressor(
     df: DataFrame, label: str, numbers: list[str], categories: list[str]
 ) -> DataFrame:
     """Root mean square error of a regression tree on a held-back 30 percent."""
-    rows = freeze(df.select(F.col(label).cast("double").alias("target"), *numbers, *categories), "rows")
+    target = F.col(label).cast("double").alias("target")
+    rows = freeze(df.select(target, *numbers, *categories), "rows")
     training, test = rows.randomSplit([0.7, 0.3], SEED)
     learner = DecisionTreeRegressor(labelCol="target", featuresCol="features", seed=SEED)
     model = Pipeline(stages=[*_tree_steps(numbers, categories, None), learner]).fit(training)
-    error = RegressionEvaluator(labelCol="target", metricName="rmse").evaluate(model.transform(test))
+    evaluator = RegressionEvaluator(labelCol="target", metricName="rmse")
+    error = evaluator.evaluate(model.transform(test))
     return test.agg(F.lit(error).alias("rmse"), F.count("*").alias("n"))
 
 
@@ -183,7 +187,11 @@ def survival(
 
     ``observed`` is 1 where the end was seen and 0 where it was censored.
     """
-    rows = df.select(F.col(time).cast("double").alias("label"), F.col(observed).cast("double").alias("censor"), *numbers)
+    rows = df.select(
+        F.col(time).cast("double").alias("label"),
+        F.col(observed).cast("double").alias("censor"),
+        *numbers,
+    )
     gather = VectorAssembler(inputCols=numbers, outputCol="features")
     points = freeze(gather.transform(rows).select("label", "censor", "features"), "points")
     learner = AFTSurvivalRegression(
@@ -194,13 +202,17 @@ def survival(
     terms += [(name, float(c)) for name, c in zip(numbers, model.coefficients)]
     fitted = model.transform(points).select(vector_to_array("quantiles").alias("q"))
     means = [F.avg(F.col("q")[i]).alias(f"quantile {p}") for i, p in enumerate(quantiles)]
-    levels = fitted.agg(*means).unpivot([], [F.col(f"`quantile {p}`") for p in quantiles], "term", "value")
+    names = [F.col(f"`quantile {p}`") for p in quantiles]
+    levels = fitted.agg(*means).unpivot([], names, "term", "value")
     return df.sparkSession.createDataFrame(terms, "term string, value double").unionByName(levels)
 
 
 def cross_validated_text(texts: DataFrame, column: str, label: str) -> DataFrame:
     """Two-fold search over text classifiers: ``(features, reg, area, best)`` per setting."""
-    rows = freeze(texts.select(F.col(column).alias("text"), F.col(label).cast("double").alias("label")), "texts")
+    labelled = texts.select(
+        F.col(column).alias("text"), F.col(label).cast("double").alias("label")
+    )
+    rows = freeze(labelled, "texts")
     hashing = HashingTF(inputCol="words", outputCol="features")
     learner = LogisticRegression(maxIter=10)
     pipeline = Pipeline(stages=[Tokenizer(inputCol="text", outputCol="words"), hashing, learner])

@@ -15,7 +15,8 @@ SPACES = r"[ \r\n]"
 def words(texts: DataFrame, column: str = "text", pattern: str = BLANKS) -> DataFrame:
     """One row per non-empty word, with the other columns of ``texts``."""
     rest = [c for c in texts.columns if c != column]
-    return texts.select(*rest, F.explode(F.split(column, pattern)).alias("word")).where("word <> ''")
+    split = F.explode(F.split(column, pattern)).alias("word")
+    return texts.select(*rest, split).where("word <> ''")
 
 
 def word_counts(texts: DataFrame, column: str = "text", pattern: str = BLANKS) -> DataFrame:

@@ -44,7 +44,9 @@ edges AS MATERIALIZED (
 
 ALL_EDGES = EDGES.replace("SELECT DISTINCT least", "SELECT least")
 
-SHORT_EDGES = EDGES.replace("GROUP BY src, dst)", "GROUP BY src, dst HAVING sum(delay) / count(*) <= 100)")
+SHORT_EDGES = EDGES.replace(
+    "GROUP BY src, dst)", "GROUP BY src, dst HAVING sum(delay) / count(*) <= 100)"
+)
 
 VERTICES = """
 ids AS MATERIALIZED (

@@ -38,7 +38,8 @@ def _recommender(spark, folder):
     ratings = (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(
-            F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item")
+            F.col("o_custkey").cast("int").alias("user"),
+            F.col("l_partkey").cast("int").alias("item"),
         )
         .agg(F.sum("l_quantity").alias("rating"))
     )
@@ -158,6 +159,6 @@ SQL = {
     "nearest_vectors": f"""
         SELECT vec_id, round(list_distance(CAST(embedding AS DOUBLE[]), {POINT}::DOUBLE[]), 6)
                    AS distance
-        FROM embeddings ORDER BY list_distance(CAST(embedding AS DOUBLE[]), {POINT}::DOUBLE[]), vec_id
-        LIMIT 10""",
+        FROM embeddings
+        ORDER BY list_distance(CAST(embedding AS DOUBLE[]), {POINT}::DOUBLE[]), vec_id LIMIT 10""",
 }

@@ -56,7 +56,8 @@ def delays_to(spark, folder):
 def sql_expressions(spark, folder):
     table(spark, folder, "customer").createOrReplaceTempView("routeloom_people")
     return spark.sql(
-        "SELECT c_name AS name, c_nationkey + 1 AS next FROM routeloom_people WHERE c_acctbal > 2000"
+        "SELECT c_name AS name, c_nationkey + 1 AS next FROM routeloom_people"
+        " WHERE c_acctbal > 2000"
     )
 
 
@@ -116,7 +117,8 @@ def roundtrip_bucketed(spark, folder):
 
 def file_by_sql(spark, folder):
     path = new_path(spark, "parts")
-    write_table(table(spark, folder, "part").select("p_partkey", "p_brand", "p_size"), path, "parquet")
+    part = table(spark, folder, "part").select("p_partkey", "p_brand", "p_size")
+    write_table(part, path, "parquet")
     return read_by_sql(spark, path).where("p_size > 10")
 
 
@@ -134,9 +136,7 @@ def merge_schema(spark, folder):
 
 def udf_scalar(spark, folder):
     line = table(spark, folder, "lineitem")
-    return line.select(
-        *LINE_KEY, multiply(F.col("l_partkey"), F.col("l_suppkey")).alias("product")
-    )
+    return line.select(*LINE_KEY, multiply("l_partkey", "l_suppkey").alias("product"))
 
 
 QUERIES = {

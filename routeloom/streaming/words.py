@@ -47,7 +47,8 @@ def count_stream(texts: DataFrame, column: str = "text") -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    spark.createDataFrame([], COUNT_SCHEMA).write.mode("append").partitionBy("epoch_id").parquet(out)
+    nothing = spark.createDataFrame([], COUNT_SCHEMA)
+    nothing.write.mode("append").partitionBy("epoch_id").parquet(out)
     return spark.read.schema(COUNT_SCHEMA).parquet(out).select("epoch_id", "word", "n")
 
 

@@ -1,11 +1,12 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from routeloom.functions import skew
 from routeloom.functions.ordering import dense_index, running_sums
-from routeloom.functions.vectorised import centred, grouped_mean, with_group_mean
+from routeloom.functions.vectorised import centred, grouped_mean, multiply, with_group_mean
 from routeloom.workspace import freeze, new_path
 
 
@@ -70,3 +71,9 @@ def test_named_shared_folder_is_used(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         assert new_path(spark, "x").startswith(named)
+
+
+def test_pandas_there_and_back(spark):
+    frame = pd.DataFrame({"x": [1, 2, 3]})
+    back = spark.createDataFrame(frame).select("x", multiply("x", "x").alias("y")).toPandas()
+    assert back["y"].tolist() == [1, 4, 9]

@@ -7,7 +7,7 @@ import pytest
 from oracles import components, distances, ranks, spanning_forest, triangles
 from routeloom.functions import skew
 from routeloom.operators import arcs as arc_module
-from routeloom.operators import graph
+from routeloom.operators import contraction, graph
 from routeloom.operators.analysis import bottleneck, complement_strength, tree_complement
 from routeloom.operators.trees import as_edges, minimum_spanning_forest, shortest_path_tree
 
@@ -20,6 +20,7 @@ def scale(request, monkeypatch):
         monkeypatch.setattr(skew, "HOT_KEYS", 8)
         monkeypatch.setattr(arc_module, "LAYOUT_FLOOR", 5)
         monkeypatch.setattr(arc_module, "BUCKET_ROWS", 20)
+        monkeypatch.setattr(contraction, "SMALL", 5)
     return request.param
 
 
