@@ -7,7 +7,8 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
@@ -211,6 +212,17 @@ def vector_mean(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def vector_summary(df: DataFrame, column: str) -> DataFrame:
+    """Mean, deviation and extremes of each position of a vector column, in one pass."""
+    found = df.select(Summarizer.metrics("mean", "std", "min", "max").summary(F.col(column)).alias("s"))
+    parts = [vector_to_array(f"s.{m}").alias(m) for m in ("mean", "std", "min", "max")]
+    zipped = found.select(*parts).select(F.posexplode(F.arrays_zip("mean", "std", "min", "max")))
+    return zipped.selectExpr(
+        "pos AS position", "col.mean AS mean", "col.std AS deviation", "col.min AS least",
+        "col.max AS most",
+    )
+
+
 def describe(df: DataFrame, column: str) -> DataFrame:
     return df.agg(
         F.count(column).alias("n"),

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from routeloom.operators import graph, routes
 from routeloom.plans import graph_sql as sql
 from routeloom.plans.graph_queries import user_edges
+from routeloom.sources.edge_list import read_edge_list, write_lines
 from routeloom.sources.tables import table, user_hops
-from routeloom.workspace import freeze
+from routeloom.workspace import freeze, new_path
 
 ROUNDS = 10
 TOLERANCE = 0.001
@@ -28,6 +29,21 @@ def pagerank_converged(spark, folder):
     return _rounded(graph.pagerank(arcs, tolerance=TOLERANCE))
 
 
+def edge_list_arcs(spark, folder):
+    """Hops written as an edge list and read back."""
+    path = new_path(spark, "edge-list")
+    write_lines(user_hops(spark, folder).select("origin_id", "destination_id"), path, " ")
+    read = read_edge_list(spark, path)
+    return read.groupBy("src", "dst").agg(F.count("*").alias("n"))
+
+
+def saved_ranks(spark, folder):
+    """Ranks saved as lines of text and read back."""
+    path = new_path(spark, "ranks")
+    write_lines(pagerank(spark, folder), path)
+    return spark.read.csv(path, sep="\t", schema="vertex bigint, rank double")
+
+
 def connected_components(spark, folder):
     hops = freeze(user_hops(spark, folder), "routes")
     edges = routes.average_edges(hops).where("weight <= 100")
@@ -69,6 +85,8 @@ def subgraph_top5(spark, folder):
 QUERIES = {
     "pagerank": pagerank,
     "pagerank_converged": pagerank_converged,
+    "edge_list_arcs": edge_list_arcs,
+    "saved_ranks": saved_ranks,
     "connected_components": connected_components,
     "component_names": component_names,
     "triangle_count": lambda s, d: graph.triangle_count(user_edges(s, d)),
@@ -125,6 +143,10 @@ SQL = {
         sql.page_ranks_until("arcs", 20, TOLERANCE),
         select=_NORMAL.format(t="ranks"),
     ),
+    "edge_list_arcs": sql.query(*_ARCS, select="SELECT * FROM arcs"),
+    "saved_ranks": sql.query(
+        *_ARCS, sql.page_ranks("arcs", ROUNDS), select=_NORMAL.format(t=f"pr{ROUNDS}")
+    ),
     "connected_components": sql.query(*_COMPONENTS, select="SELECT id, component FROM c24"),
     "component_names": sql.query(
         *_COMPONENTS,

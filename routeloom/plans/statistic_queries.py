@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from routeloom.functions.skew import lookup_join
 from routeloom.operators import features, statistics
 from routeloom.operators.rules import association_rules
+from routeloom.sources.formats import round_trip
 from routeloom.sources.tables import table
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -142,6 +144,15 @@ def cosine_transform(spark, folder):
     return _round(rows, "x")
 
 
+def vector_summary(spark, folder):
+    """Vectors stored, read back and summarised."""
+    vectors = _embeddings(spark, folder).select(
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("point")
+    )
+    found = statistics.vector_summary(round_trip(vectors, "parquet"), "point")
+    return _round(found, "mean", "deviation")
+
+
 def describe(spark, folder):
     found = statistics.describe(_line(spark, folder), "l_extendedprice")
     return _round(found, "mean", "deviation", places=4)
@@ -170,6 +181,7 @@ QUERIES = {
     "vector_mean": lambda s, d: _round(
         statistics.vector_mean(_embeddings(s, d), "embedding"), "mean"
     ),
+    "vector_summary": vector_summary,
     "describe": describe,
 }
 
@@ -328,6 +340,12 @@ SQL = {
         FROM (SELECT CAST(unnest(range(len(embedding))) AS INTEGER) AS position,
                      CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
         GROUP BY position""",
+    "vector_summary": """
+        SELECT position, round(avg(x), 6) + 0 AS mean, round(stddev_samp(x), 6) AS deviation,
+               min(x) AS least, max(x) AS most
+        FROM (SELECT CAST(unnest(range(len(embedding))) AS INTEGER) AS position,
+                     CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+        GROUP BY position""",
     "describe": """
         SELECT count(l_extendedprice) AS n, round(avg(l_extendedprice), 4) AS mean,
                round(stddev_samp(l_extendedprice), 4) AS deviation,

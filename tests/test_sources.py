@@ -2,6 +2,7 @@ import pytest
 
 from routeloom.operators.routes import average_edges
 from routeloom.plans.delay_report import delay_report
+from routeloom.sources.edge_list import read_edge_list
 from routeloom.sources.flights import check_factor, read_flights
 from routeloom.sources.formats import read_table, round_trip
 
@@ -81,3 +82,14 @@ def test_inferred_and_given_schemas(spark, tmp_path):
     assert spark.createDataFrame([Row(name="Joe", age=20)]).dtypes == [
         ("name", "string"), ("age", "bigint"),
     ]
+
+
+def test_edge_list(spark, tmp_path):
+    path = tmp_path / "edges.txt"
+    path.write_text("# from to\n2 1\n\n 4\t7 \n2 1\n")
+    assert sorted(map(tuple, read_edge_list(spark, str(path)).collect())) == [(2, 1), (2, 1), (4, 7)]
+    canonical = read_edge_list(spark, str(path), canonical=True)
+    assert sorted(map(tuple, canonical.collect())) == [(1, 2), (1, 2), (4, 7)]
+    path.write_text("1 2\n3\n")
+    with pytest.raises(Exception):
+        read_edge_list(spark, str(path)).collect()
