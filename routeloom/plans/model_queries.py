@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from routeloom.operators import models, similarity
+from routeloom.plans.statistic_queries import chi_square_sql
 from routeloom.sources.tables import table
 
 POINT = [round(0.1 * (-1) ** k / (1 + k % 5), 3) for k in range(64)]
@@ -129,6 +130,13 @@ def _bins(spark, folder):
 BINS = ["quantity", "line", "price", "discount"]
 
 
+def chi_square_test(spark, folder):
+    found = models.chi_square_test(_bins(spark, folder), "l_returnflag", BINS)
+    return found.withColumns(
+        {"statistic": F.round("statistic", 6), "p_value": F.round("p_value", 6)}
+    )
+
+
 QUERIES = {
     "lsh_join": lsh_join,
     "nearest_vectors": nearest,
@@ -149,13 +157,28 @@ QUERIES = {
     "cross_validated_text": lambda s, d: models.cross_validated_text(
         _graded(s, d), "text", "quality"
     ),
-    "chi_square_test": lambda s, d: models.chi_square_test(_bins(s, d), "l_returnflag", BINS),
+    "chi_square_test": chi_square_test,
     "chi_square_select": lambda s, d: models.chi_square_select(
         _bins(s, d), "l_returnflag", BINS, 2
     ),
 }
 
+_BIN_SQL = {
+    "quantity": "CAST(CAST(floor(l_quantity / 16) AS BIGINT) AS VARCHAR)",
+    "line": "CAST(l_linenumber AS VARCHAR)",
+    "price": "CAST(CAST(floor(l_extendedprice / 10000) AS BIGINT) AS VARCHAR)",
+    "discount": "CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR)",
+}
+
 SQL = {
+    # With three labels the degrees of freedom are even, which gives the p-value a finite sum.
+    "chi_square_test": chi_square_sql(_BIN_SQL)
+    + """
+        SELECT feature, round(any_value(statistic), 6) AS statistic, any_value(dof) AS dof,
+               round(exp(-any_value(statistic) / 2)
+                     * sum(pow(statistic / 2, k) / gamma(k + 1)), 6) AS p_value
+        FROM tested, LATERAL (SELECT unnest(range(CAST(dof / 2 AS BIGINT))) AS k) ks
+        GROUP BY feature""",
     "nearest_vectors": f"""
         SELECT vec_id, round(list_distance(CAST(embedding AS DOUBLE[]), {POINT}::DOUBLE[]), 6)
                    AS distance

@@ -227,6 +227,31 @@ WHERE term < {size}"""
 _KEYS = ", ".join(KEY)
 
 
+def chi_square_sql(traits):
+    """CTEs ending in ``tested(feature, statistic, dof)`` for text expressions of lineitem."""
+    return f"""
+        WITH cells AS (
+            SELECT f.feature, f.value, l_returnflag AS label, count(*) AS n
+            FROM lineitem, LATERAL (
+                SELECT unnest({list(traits)}) AS feature,
+                       unnest([{", ".join(traits.values())}]) AS value) f
+            GROUP BY ALL),
+        lv AS (SELECT feature, label, sum(n) AS ln FROM cells GROUP BY ALL),
+        vv AS (SELECT feature, value, sum(n) AS vn FROM cells GROUP BY ALL),
+        every AS (
+            SELECT vv.feature, coalesce(c.n, 0) AS n,
+                   vv.vn * lv.ln / (SELECT count(*) FROM lineitem) AS e
+            FROM vv JOIN lv USING (feature)
+            LEFT JOIN cells c ON c.feature = vv.feature AND c.value = vv.value
+                             AND c.label = lv.label),
+        tested AS (
+            SELECT feature, sum((n - e) * (n - e) / e) AS statistic,
+                   ((SELECT count(*) FROM vv v WHERE v.feature = every.feature) - 1)
+                   * ((SELECT count(*) FROM lv l WHERE l.feature = every.feature) - 1) AS dof
+            FROM every GROUP BY feature)
+        """
+
+
 def _bucket_sql(column, splits):
     cases = " ".join(
         f"WHEN {column} < {splits[b + 1]} THEN {float(b)}" for b in range(len(splits) - 2)
@@ -240,28 +265,15 @@ SQL = {
         SELECT * FROM (WITH ranked AS (SELECT l_quantity AS label, * FROM lineitem)
         {_pairs(["label", *MEASURES[1:]])}) WHERE a = 'label'""",
     "corr_spearman": f"WITH ranked AS (SELECT {_RANKS} FROM lineitem) {_pairs(MEASURES)}",
-    "chi_square": """
-        WITH cells AS (
-            SELECT f.feature, f.value, l_returnflag AS label, count(*) AS n
-            FROM lineitem, LATERAL (
-                SELECT unnest(['quantity', 'line', 'discount', 'status']) AS feature,
-                       unnest([CAST(CAST(floor(l_quantity / 16) AS BIGINT) AS VARCHAR),
-                               CAST(l_linenumber AS VARCHAR),
-                               CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR),
-                               l_linestatus]) AS value) f
-            GROUP BY ALL),
-        lv AS (SELECT feature, label, sum(n) AS ln FROM cells GROUP BY ALL),
-        vv AS (SELECT feature, value, sum(n) AS vn FROM cells GROUP BY ALL),
-        every AS (
-            SELECT vv.feature, coalesce(c.n, 0) AS n,
-                   vv.vn * lv.ln / (SELECT count(*) FROM lineitem) AS e
-            FROM vv JOIN lv USING (feature)
-            LEFT JOIN cells c ON c.feature = vv.feature AND c.value = vv.value
-                             AND c.label = lv.label)
-        SELECT feature, round(sum((n - e) * (n - e) / e), 6) AS statistic,
-               ((SELECT count(*) FROM vv v WHERE v.feature = every.feature) - 1)
-               * ((SELECT count(*) FROM lv l WHERE l.feature = every.feature) - 1) AS dof
-        FROM every GROUP BY feature""",
+    "chi_square": chi_square_sql(
+        {
+            "quantity": "CAST(CAST(floor(l_quantity / 16) AS BIGINT) AS VARCHAR)",
+            "line": "CAST(l_linenumber AS VARCHAR)",
+            "discount": "CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR)",
+            "status": "l_linestatus",
+        }
+    )
+    + "SELECT feature, round(statistic, 6) AS statistic, dof FROM tested",
     "column_cosine": """
         WITH cells AS (
             SELECT vec_id, unnest(range(len(embedding))) AS k,

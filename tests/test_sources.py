@@ -4,7 +4,8 @@ from routeloom.operators.routes import average_edges
 from routeloom.plans.delay_report import delay_report
 from routeloom.sources.edge_list import read_edge_list
 from routeloom.sources.flights import check_factor, read_flights
-from routeloom.sources.formats import read_table, round_trip
+from routeloom.plans.table_queries import QUERIES
+from routeloom.sources.formats import bucketed, drop_table, read_table, round_trip
 
 LINE = "1,2,AA,N1,{n},{a},Aname,{b},Bname,600,605,{delay},900,{arr},{arr_delay},300,77"
 
@@ -93,3 +94,23 @@ def test_edge_list(spark, tmp_path):
     path.write_text("1 2\n3\n")
     with pytest.raises(Exception):
         read_edge_list(spark, str(path)).collect()
+
+
+def test_bucketed_tables_join_in_place(spark):
+    df = spark.range(200).selectExpr("id % 20 AS k", "id AS x")
+    names = [bucketed(df, ["k"], 8, ["k"]) for _ in range(2)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table(names[0]).join(spark.table(names[1]), "k")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in names:
+            drop_table(spark, name)
+
+
+def test_filters_reach_the_files(spark, sf):
+    plan = QUERIES["delays_to"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_orderpriority,1-URGENT)" in plan
+    assert "l_quantity" not in plan
