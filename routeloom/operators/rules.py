@@ -29,5 +29,5 @@ def association_rules(
     # A basket left without items still counts towards every support.
     marked = lookup_join(pairs, frequent, "item", "left", n_pairs)
     sets = freeze(marked.groupBy("basket").agg(F.collect_set("kept").alias("items")), "baskets")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(sets)
-    return model.associationRules
+    learner = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
+    return learner.fit(sets).associationRules

@@ -60,7 +60,9 @@ def similar_pairs(
     distinct = freeze(distinct_vectors(df, key, column), "distinct")
     members, n_members = freeze_counting(
         _bucketed(distinct, bucket_length, tables, seed)
-        .select("id", "copies", "vector", "buckets", F.posexplode("buckets").alias("table", "bucket"))
+        .select(
+            "id", "copies", "vector", "buckets", F.posexplode("buckets").alias("table", "bucket")
+        )
         .withColumn("cell", F.struct("table", "bucket")),
         "members",
     )
@@ -93,7 +95,8 @@ def _near(unit: pd.DataFrame, threshold: float) -> pd.DataFrame:
     first = np.flatnonzero(unit["block"].to_numpy() == low)
     second = np.flatnonzero(unit["block"].to_numpy() == high)
     lengths = (points * points).sum(axis=1)
-    rough = lengths[first][:, None] + lengths[second][None, :] - 2 * points[first] @ points[second].T
+    products = points[first] @ points[second].T
+    rough = lengths[first][:, None] + lengths[second][None, :] - 2 * products
     # The product form loses some digits, so it only sorts out what is clearly too far.
     slack = 1e-9 * (1 + lengths.max())
     x, y = np.nonzero(rough < threshold * threshold + slack)

@@ -214,9 +214,10 @@ def vector_mean(df: DataFrame, column: str) -> DataFrame:
 
 def vector_summary(df: DataFrame, column: str) -> DataFrame:
     """Mean, deviation and extremes of each position of a vector column, in one pass."""
-    found = df.select(Summarizer.metrics("mean", "std", "min", "max").summary(F.col(column)).alias("s"))
-    parts = [vector_to_array(f"s.{m}").alias(m) for m in ("mean", "std", "min", "max")]
-    zipped = found.select(*parts).select(F.posexplode(F.arrays_zip("mean", "std", "min", "max")))
+    measures = ["mean", "std", "min", "max"]
+    found = df.select(Summarizer.metrics(*measures).summary(F.col(column)).alias("s"))
+    parts = [vector_to_array(f"s.{m}").alias(m) for m in measures]
+    zipped = found.select(*parts).select(F.posexplode(F.arrays_zip(*measures)))
     return zipped.selectExpr(
         "pos AS position", "col.mean AS mean", "col.std AS deviation", "col.min AS least",
         "col.max AS most",
