@@ -10,10 +10,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from routeloom.llm.classifier import fit_documents, held_out, score_documents
+from routeloom.llm.decontaminate import mark_contaminated
 from routeloom.llm.line_dedup import drop_repeated_lines
 from routeloom.llm.packing import pack_documents
+from routeloom.llm.rules import quality_rules
 from routeloom.llm.sharding import shard_documents
 
+#: Documents with a lower probability of label 1 are rejected.
+REJECT_BELOW = 0.7
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -37,12 +42,40 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return mark_contaminated(documents(spark, folder), items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeated_lines(documents(spark, folder).select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", _sha256("text").alias("kept_sha256")
     )
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = quality_rules(documents(spark, folder))
+    return rules.drop("class_distance", "word_distance")
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return score_documents(docs, fit_documents(docs, labels)).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        F.when(F.col("score") >= REJECT_BELOW, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(documents(spark, folder)).select(
         "doc_id",
@@ -57,11 +90,45 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_decontamination": op4_decontamination,
     "op6_line_dedup": op6_line_dedup,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
 }
 
 SQL = {
+    "op4_decontamination": r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL
+), item_windows AS (
+  SELECT DISTINCT item_id, w[i : i + 12] AS win
+  FROM item_words, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0
+), doc_words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), sizes AS (SELECT DISTINCT len(win) AS n FROM item_windows
+), doc_windows AS (
+  SELECT doc_id, i, n, w[i : i + n - 1] AS win
+  FROM doc_words, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)
+), hits AS (
+  SELECT d.doc_id, d.i, d.n, b.item_id FROM doc_windows d JOIN item_windows b ON d.win = b.win
+), words_hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         array_to_string(list_sort(list(DISTINCT CAST(item_id AS VARCHAR))), ',') AS ids
+  FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words d LEFT JOIN words_hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+""",
     "op6_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
