@@ -16,6 +16,7 @@ from routeloom.llm.line_dedup import drop_repeated_lines
 from routeloom.llm.packing import pack_documents
 from routeloom.llm.rules import quality_rules
 from routeloom.llm.sharding import shard_documents
+from routeloom.llm.substrings import remove_repeats
 
 #: Documents with a lower probability of label 1 are rejected.
 REJECT_BELOW = 0.7
@@ -42,6 +43,12 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(documents(spark, folder)).select(
+        "doc_id", "n_words", "n_removed", _sha256("text").alias("kept_sha256")
+    )
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return mark_contaminated(documents(spark, folder), items).select(
@@ -90,6 +97,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_decontamination": op4_decontamination,
     "op6_line_dedup": op6_line_dedup,
     "op8_quality_rules": op8_quality_rules,
@@ -98,6 +106,25 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_substring_dedup": r"""
+WITH doc_words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY w[i : i + 19] ORDER BY doc_id, i) AS k
+  FROM doc_words, unnest(range(1, len(w) - 18)) AS t(i)
+), hit AS (
+  SELECT DISTINCT doc_id, p FROM windows, unnest(range(i, i + 20)) AS t(p) WHERE k > 1
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc_words
+), kept AS (
+  SELECT w.doc_id, count(h.p) AS n_removed,
+         string_agg(word, ' ' ORDER BY w.p) FILTER (WHERE h.p IS NULL) AS text
+  FROM words w LEFT JOIN hit h ON w.doc_id = h.doc_id AND w.p = h.p GROUP BY w.doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM doc_words d LEFT JOIN kept USING (doc_id)
+""",
     "op4_decontamination": r"""
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
