@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from routeloom.llm.classifier import fit_documents, held_out, score_documents
 from routeloom.llm.decontaminate import mark_contaminated
 from routeloom.llm.line_dedup import drop_repeated_lines
+from routeloom.llm.near_dedup import near_duplicates
 from routeloom.llm.packing import pack_documents
 from routeloom.llm.rules import quality_rules
 from routeloom.llm.sharding import shard_documents
@@ -61,6 +62,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(documents(spark, folder), size=4)
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeated_lines(documents(spark, folder).select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", _sha256("text").alias("kept_sha256")
@@ -99,6 +104,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
