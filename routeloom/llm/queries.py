@@ -16,6 +16,7 @@ from routeloom.llm.line_dedup import drop_repeated_lines
 from routeloom.llm.near_dedup import near_duplicates
 from routeloom.llm.packing import pack_documents
 from routeloom.llm.rules import quality_rules
+from routeloom.llm.scoring import score_documents as language_scores
 from routeloom.llm.sharding import shard_documents
 from routeloom.llm.substrings import remove_repeats
 
@@ -72,6 +73,11 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    scores = language_scores(documents(spark, folder))
+    return scores.select("doc_id", "n_words", F.round("score", 6).alias("score"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = quality_rules(documents(spark, folder))
     return rules.drop("class_distance", "word_distance")
@@ -106,6 +112,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
@@ -184,5 +191,36 @@ SELECT doc_id, count(*) AS n_lines,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), ''))
          AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op7_lm_scoring": r"""
+WITH doc_words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc_words
+), total AS (SELECT count(*) AS n FROM words
+), vocabulary AS (
+  SELECT word FROM words GROUP BY word HAVING count(*) >= (SELECT n FROM total) * 1e-6
+), known AS (
+  SELECT doc_id, p, v.word FROM words LEFT JOIN vocabulary v USING (word)
+), singles AS (SELECT word, count(*) AS n FROM known GROUP BY word
+), pairs AS (
+  SELECT doc_id, p, word, lag(word) OVER d AS before, lag(p) OVER d IS NULL AS opens
+  FROM known WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+), doubles AS (
+  SELECT before, word, count(*) AS n FROM pairs WHERE NOT opens GROUP BY before, word
+), scored AS (
+  SELECT pairs.doc_id, CASE
+      WHEN NOT opens AND d.n >= 2 THEN log10(d.n / b.n)
+      WHEN opens THEN log10(s.n / (SELECT n FROM total))
+      ELSE log10(0.4) + log10(s.n / (SELECT n FROM total)) END AS score
+  FROM pairs
+  JOIN singles s ON pairs.word IS NOT DISTINCT FROM s.word
+  LEFT JOIN doubles d ON NOT opens AND pairs.word IS NOT DISTINCT FROM d.word
+                     AND pairs.before IS NOT DISTINCT FROM d.before
+  LEFT JOIN singles b ON NOT opens AND pairs.before IS NOT DISTINCT FROM b.word
+), means AS (SELECT doc_id, avg(score) AS score FROM scored GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, round(score, 6) AS score
+FROM doc_words d LEFT JOIN means USING (doc_id)
 """,
 }
