@@ -103,17 +103,17 @@ def mark_contaminated(
     sorted strings, of items with occurring windows.  A document is contaminated if words are hit
     and they are at least one in ``share``.
 
-    A null text has no words.  Rows without id get their own words counted and nothing hit.  Rows
-    that repeat an id and text get the same result.  Items without id hit words but are not
-    listed; of repeated item ids all texts count.  Other columns are left out.
+    A null text has no words.  Rows without an id are judged like any others; rows that repeat an
+    id and text get the same result.  Items without an id hit words but are not listed; of
+    repeated item ids all texts count.  Other columns are left out; ``row_hash``, which is
+    ``xxhash64(id, text)``, leads back to them.
     """
     key = F.col(f"`{id_col}`")
     text = F.col(f"`{text_col}`")
     all_windows = stored(item_windows(items, size, item_col, item_text_col), "item_windows")
     windows = stored(all_windows.select("window").distinct(), "windows")
-    texts = docs.where(text.isNotNull()).select(
-        key.alias("id"), F.xxhash64(text).alias("print"), _words(text).alias("words")
-    )
+    row = F.xxhash64(key, text).alias("row")  # null ids too; repeated rows share it
+    texts = docs.where(text.isNotNull()).select(row, _words(text).alias("words"))
     prefix = stored(rarest_words(windows, texts), "prefixes")
     reach = size - 1
     found = []
@@ -135,17 +135,17 @@ def mark_contaminated(
                 ).alias("near"),
             ),
         )
-        seen = texts.select("id", "print", F.inline(around))
+        seen = texts.select("row", F.inline(around))
         start = F.col("at") - F.col("place")
         joined = seen.join(prefix, "word").where(start >= F.col("from"))
         equal = F.slice("near", start - F.col("from") + 1, F.size("window")) == F.col("window")
         found.append(
             joined.where(equal).select(
-                "id", "print", "window", start.alias("start"), F.size("window").alias("length")
+                "row", "window", start.alias("start"), F.size("window").alias("length")
             )
         )
     hits = stored(reduce(DataFrame.unionByName, found), "hits")
-    spans = hits.groupBy("id", "print").agg(
+    spans = hits.groupBy("row").agg(
         F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end"))))
         .alias("spans")
     )
@@ -159,27 +159,22 @@ def mark_contaminated(
         lambda a: a["n"],
     )
     listed = (
-        hits.select("id", "print", "window")
+        hits.select("row", "window")
         .distinct()
         .join(all_windows, "window")
-        .groupBy("id", "print")
+        .groupBy("row")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
-    hit = spans.select("id", "print", covered.cast("long").alias("n_hit")).join(
-        listed, ["id", "print"], "left"
-    )
-    rows = docs.select(
-        key.alias("id"),
-        F.xxhash64(text).alias("print"),
-        F.size(_words(text)).cast("long").alias("n_words"),
-    )
+    hit = spans.select("row", covered.cast("long").alias("n_hit")).join(listed, "row", "left")
+    rows = docs.select(key.alias("id"), row, F.size(_words(text)).cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     none = F.array().cast("array<string>")
-    return rows.join(hit, ["id", "print"], "left").select(
+    return rows.join(hit, "row", "left").select(
         F.col("id").alias(id_col),
         "n_words",
         n_hit.alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
         F.coalesce("items", none).alias("items"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
+        F.col("row").alias("row_hash"),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from routeloom.llm.classifier import fit_documents, held_out, score_documents
 from routeloom.llm.decontaminate import mark_contaminated
+from routeloom.llm.licenses import scan_licenses
 from routeloom.llm.line_dedup import drop_repeated_lines
 from routeloom.llm.near_dedup import near_duplicates
 from routeloom.llm.packing import pack_documents
@@ -33,6 +34,10 @@ def _sha256(text: str):
     return F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(documents(spark, folder)).withColumn("coverage", F.round("coverage", 6))
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(documents(spark, folder), TOKENIZER).select(
         "doc_id",
@@ -107,6 +112,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_packing": op2_packing,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_decontamination": op4_decontamination,
