@@ -51,9 +51,9 @@ class Index:
 
     @staticmethod
     def winnow(words: np.ndarray) -> list[tuple[int, int]]:
-        grams = window_hashes(words, min(GRAM, len(words))).tolist()
-        if not grams:
+        if not len(words):
             return []
+        grams = window_hashes(words, min(GRAM, len(words))).tolist()
         kept = set()
         for i in range(max(1, len(grams) - NEIGHBOURS + 1)):
             kept.add(min(range(i, min(len(grams), i + NEIGHBOURS)), key=lambda j: (grams[j], -j)))
