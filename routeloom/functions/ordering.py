@@ -11,7 +11,7 @@ from routeloom.workspace import freeze
 ROW_BITS = 33
 
 
-def _ranged(df: DataFrame, order: list[Column | str]) -> DataFrame:
+def ranged(df: DataFrame, order: list[Column | str]) -> DataFrame:
     """Rows sorted across range partitions, stored with their partition and position."""
     rows = (
         df.repartitionByRange(*order)
@@ -32,7 +32,7 @@ def dense_index(df: DataFrame, order: list[Column | str], index: str = "index")
     Each range partition numbers its own rows; only one count per partition
     is summed up front, and that table is as small as the number of tasks.
     """
-    rows = _ranged(df, order)
+    rows = ranged(df, order)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy("_part")
@@ -51,7 +51,7 @@ def running_sums(
 
     Ordering keys should be unique, so that range partitions stay even.
     """
-    rows = _ranged(df, order)
+    rows = ranged(df, order)
     inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])

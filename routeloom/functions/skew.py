@@ -1,45 +1,18 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins to a table with one row per key, where a key may hold a large share of the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from routeloom.workspace import freeze
 
-#: Inputs up to this many rows are joined plainly: no key in them can overload a task.
-HOT_FLOOR = 2_000_000
-
-#: A key is hot when it holds more than 1/HOT_KEYS of the rows, so fewer than HOT_KEYS are.
-HOT_KEYS = 1000
-
-
-def hot_keys(rows: DataFrame, on: str, n_rows: int) -> DataFrame:
-    """Keys holding more than ``n_rows / HOT_KEYS`` rows: fewer than HOT_KEYS by counting."""
-    heavy = rows.groupBy(on).count().filter(F.col("count") > n_rows // HOT_KEYS)
-    return freeze(heavy.select(on), "hot_keys")
-
-
-def lookup_join(
-    rows: DataFrame,
-    table: DataFrame,
-    on: str,
-    how: str = "inner",
-    n_rows: int | None = None,
-) -> DataFrame:
+def lookup_join(rows: DataFrame, table: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """Join ``rows`` to ``table``, which has at most one row per key.
 
-    Rows of hot keys never move: the few table rows they need are broadcast,
-    and their number is bounded by ``HOT_KEYS``.  All other keys take the
-    ordinary join.  ``rows`` is read more than once, so it should be a stored
-    table.
+    The join keeps both sides' exchanges as the planner made them, so adaptive execution can
+    broadcast a table that turns out small, and else cut the partition of a hot key (NULL too, in
+    a left join) into pieces that each meet the key's one row.  ``how`` is "inner" or "left": for
+    both the side that is cut is ``rows``.
     """
-    if n_rows is None:
-        n_rows = rows.count()
-    if n_rows <= HOT_FLOOR:
-        return rows.join(table, on, how)
-    hot = F.broadcast(hot_keys(rows, on, n_rows))
-    hot_rows = rows.join(hot, on, "left_semi")
-    hot_table = F.broadcast(table.join(hot, on, "left_semi"))
-    rest = rows.join(hot, on, "left_anti")
-    return hot_rows.join(hot_table, on, how).unionByName(rest.join(table, on, how))
+    if how not in ("inner", "left"):
+        raise ValueError(f"lookup_join cannot balance a {how} join")
+    return rows.join(table, on, how)

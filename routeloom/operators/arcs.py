@@ -6,22 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routeloom.sources.formats import bucketed, drop_table
-from routeloom.workspace import freeze, spread
-
-#: Arc tables up to this size are left to the planner; larger ones get a fixed layout.
-LAYOUT_FLOOR = 5_000_000
+from routeloom.workspace import freeze
 
 #: Arcs per bucket of a fixed layout.
 BUCKET_ROWS = 2_000_000
 
-#: Spark's own limit on the buckets of a table.
+#: Spark's own limit on the buckets of a table; beyond it buckets hold more arcs each.
 MAX_BUCKETS = 100_000
 
 
 class ArcTable:
     """``arcs(src, dst, ...)``, stored once and joined to vertex rows every round.
 
-    A large table is bucketed by ``(src, shard)``, so a round moves only the
+    The table is bucketed by ``(src, shard)``, so a round moves only the
     vertex rows.  A hub, a vertex with more arcs than an average bucket, is cut
     into shards over its neighbours; there are fewer hubs than buckets, which
     bounds the table that is broadcast.  Use it in a ``with`` block, which takes
@@ -30,14 +27,9 @@ class ArcTable:
 
     def __init__(self, arcs: DataFrame, n_arcs: int):
         self.spark = arcs.sparkSession
-        self.is_small = n_arcs <= LAYOUT_FLOOR
-        self.name = None
-        if self.is_small:
-            self.arcs = spread(arcs, n_arcs, "dst")
-            return
         tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         buckets = min(max(tasks, -(-n_arcs // BUCKET_ROWS)), MAX_BUCKETS)
-        share = -(-n_arcs // buckets)
+        share = max(1, -(-n_arcs // buckets))
         degrees = arcs.groupBy("src").count().where(F.col("count") > share)
         self.hubs = freeze(
             degrees.select("src", F.ceil(F.col("count") / share).cast("int").alias("shards")),
@@ -57,13 +49,10 @@ class ArcTable:
         return self
 
     def __exit__(self, *_) -> None:
-        if self.name:
-            drop_table(self.spark, self.name)
+        drop_table(self.spark, self.name)
 
     def send(self, rows: DataFrame) -> DataFrame:
         """Pair every row, keyed by ``src``, with each arc leaving that vertex."""
-        if self.is_small:
-            return rows.join(self.arcs, "src")
         copies = F.explode(F.sequence(F.lit(0), F.coalesce("shards", F.lit(1)) - 1))
         spread_rows = (
             rows.join(F.broadcast(self.hubs), "src", "left")

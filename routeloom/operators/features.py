@@ -12,16 +12,13 @@ from pyspark.sql import functions as F
 from routeloom.functions.ordering import dense_index
 from routeloom.functions.skew import lookup_join
 from routeloom.operators.words import words
-from routeloom.workspace import freeze, freeze_counting
-
-#: Largest vocabulary unless another size is asked for.
-VOCABULARY = 1 << 18
+from routeloom.workspace import freeze
 
 
 def binarize(column: str | Column, threshold: float) -> Column:
-    """1 above the threshold, else 0."""
+    """1 above the threshold, else 0; NULL stays NULL."""
     value = F.col(column) if isinstance(column, str) else column
-    return F.when(value > threshold, 1.0).otherwise(0.0)
+    return F.when(value > threshold, 1.0).when(value.isNotNull(), 0.0)
 
 
 def bucketize(column: str, splits: list[float]) -> Column:
@@ -40,28 +37,32 @@ def bucketize(column: str, splits: list[float]) -> Column:
     return found.when(value <= splits[-1], float(last)).otherwise(outside)
 
 
-def vocabulary(term_counts: DataFrame, min_docs: int, size: int = VOCABULARY) -> DataFrame:
-    """``(word, term)``: the most frequent words numbered from 0, equal counts by word."""
+def vocabulary(term_counts: DataFrame, min_docs: int, size: int | None = None) -> DataFrame:
+    """``(word, term)``: words by falling count, numbered from 0, equal counts by word.
+
+    All words in at least ``min_docs`` texts, or of these the ``size`` most frequent.
+    """
     found = (
         term_counts.groupBy("word")
         .agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
         .where(F.col("docs") >= min_docs)
     )
-    return (
-        dense_index(found, [F.desc("total"), F.asc("word")], "place")
-        .where(F.col("place") <= size)
-        .select("word", (F.col("place") - 1).alias("term"))
-    )
+    # stored, as sampling for the order would count the words again
+    found = freeze(found.select("word", "total"), "words")
+    placed = dense_index(found, [F.desc("total"), F.asc("word")], "place")
+    if size is not None:
+        placed = placed.where(F.col("place") <= size)
+    return placed.select("word", (F.col("place") - 1).alias("term"))
 
 
 def count_vectorize(
-    texts: DataFrame, key: str, column: str, min_docs: int = 1, size: int = VOCABULARY
+    texts: DataFrame, key: str, column: str, min_docs: int = 1, size: int | None = None
 ) -> DataFrame:
     """Counts of vocabulary terms in each text, as sparse rows ``(key, term, word, n)``."""
     found = words(texts.select(key, column), column).groupBy(key, "word")
-    counts, n_rows = freeze_counting(found.agg(F.count("*").alias("n")), "terms")
-    terms = freeze(vocabulary(counts, min_docs, size), "vocabulary")
-    return lookup_join(counts, terms, "word", n_rows=n_rows).select(key, "term", "word", "n")
+    counts = freeze(found.agg(F.count("*").alias("n")), "terms")
+    terms = vocabulary(counts, min_docs, size)
+    return lookup_join(counts, terms, "word").select(key, "term", "word", "n")
 
 
 def hash_features(df: DataFrame, columns: list[str], size: int, out: str = "features") -> DataFrame:

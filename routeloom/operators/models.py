@@ -159,10 +159,11 @@ def binary_scores(
 ) -> DataFrame:
     """Scores ``(label, score)`` of a linear classifier on a held-back 40 percent.
 
-    ``overrides`` replaces learner parameters, by name, for this fit only.
+    ``overrides`` replaces learner parameters, by name, for this fit only.  A missing measure
+    fails the query; the caller decides what to put in its place.
     """
     rows = df.select(F.col(label).cast("double").alias("label"), *numbers)
-    gather = VectorAssembler(inputCols=numbers, outputCol="features", handleInvalid="skip")
+    gather = VectorAssembler(inputCols=numbers, outputCol="features", handleInvalid="error")
     points = freeze(gather.transform(rows).select("label", "features"), "points")
     training, test = points.randomSplit([0.6, 0.4], 11)
     if kind == "logistic":

@@ -86,9 +86,9 @@ def adjacency(edges: DataFrame, index: DataFrame) -> DataFrame:
     n_edges = edges.count()
     origin = index.select(F.col("id").alias("src"), F.col("index").alias("origin_index"))
     target = index.select(F.col("id").alias("dst"), F.col("index").alias("destination_index"))
-    numbered = lookup_join(edges, origin, "src", n_rows=n_edges)
+    numbered = lookup_join(edges, origin, "src")
     numbered = freeze(numbered, "numbered")
-    numbered = lookup_join(numbered, target, "dst", n_rows=n_edges)
+    numbered = lookup_join(numbered, target, "dst")
     forward = F.struct(
         "origin_index",
         F.col("src").alias("origin_id"),

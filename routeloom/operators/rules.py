@@ -27,7 +27,7 @@ def association_rules(
     counts = pairs.groupBy("item").count().where(F.col("count") >= min_support * n_baskets)
     frequent = freeze(counts.select("item", F.col("item").alias("kept")), "frequent")
     # A basket left without items still counts towards every support.
-    marked = lookup_join(pairs, frequent, "item", "left", n_pairs)
+    marked = lookup_join(pairs, frequent, "item", "left")
     sets = freeze(marked.groupBy("basket").agg(F.collect_set("kept").alias("items")), "baskets")
     learner = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
     return learner.fit(sets).associationRules

@@ -68,7 +68,7 @@ def similar_pairs(
     )
     shared = members.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     cells = freeze(shared.select("cell", F.ceil(F.col("n") / BLOCK).alias("blocks")), "cells")
-    placed = lookup_join(members, cells, "cell", n_rows=n_members).withColumn(
+    placed = lookup_join(members, cells, "cell").withColumn(
         "block", F.expr("pmod(xxhash64(id), blocks)")
     )
     # Every pair of blocks, and each block with itself, is one group of two blocks at most.

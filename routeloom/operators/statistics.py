@@ -14,7 +14,6 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from routeloom.functions import skew
 from routeloom.functions.ordering import running_sums
 from routeloom.functions.skew import lookup_join
 from routeloom.workspace import freeze
@@ -42,17 +41,15 @@ def average_ranks(df: DataFrame, column: str) -> DataFrame:
 def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Spearman rank correlation of every pair of columns as ``(a, b, corr)``.
 
-    Values are ranked once each, so a value that fills a third of the rows
-    costs no more than any other.
+    A value is ranked among all values of its column; as for :func:`pearson`, a row counts for
+    the pairs of which it has both values.  Distinct values are ranked, so a value that fills a
+    third of the rows costs no more than any other.
     """
-    rows = freeze(df.select(*columns).dropna(), "values")
-    n_rows = rows.count()
+    rows = freeze(df.select(*columns), "values")
     ranked = rows
     for column in columns:
-        ranks = freeze(average_ranks(rows, column), "ranks")
-        ranked = lookup_join(ranked, ranks, column, n_rows=n_rows)
-        if n_rows > skew.HOT_FLOOR:
-            ranked = freeze(ranked, "ranked")
+        ranks = average_ranks(rows.where(F.col(column).isNotNull()), column)
+        ranked = lookup_join(ranked, ranks, column, "left")
     renamed = ranked.select(*[F.col(f"rank_{c}").alias(c) for c in columns])
     return pearson(renamed, columns)
 
@@ -70,8 +67,18 @@ def contingency(df: DataFrame, label: str, features: dict[str, Column]) -> DataF
     )
 
 
+def _join_equal(cells: DataFrame, sums: DataFrame, column: str) -> DataFrame:
+    """Join on the feature and a column that may be NULL on both sides."""
+    sums = sums.withColumnsRenamed({"feature": "_feature", column: "_value"})
+    same = (F.col("feature") == F.col("_feature")) & F.col(column).eqNullSafe(F.col("_value"))
+    return cells.join(sums, same).drop("_feature", "_value")
+
+
 def chi_square(df: DataFrame, label: str, features: dict[str, Column]) -> DataFrame:
-    """Independence of each feature and the label: ``(feature, statistic, dof)``."""
+    """Independence of each feature and the label: ``(feature, statistic, dof)``.
+
+    NULL is a value, and a label, like any other.
+    """
     cells = freeze(contingency(df, label, features), "cells")
     by_value = cells.groupBy("feature", "value").agg(F.sum("n").alias("value_n"))
     by_label = cells.groupBy("feature", "label").agg(F.sum("n").alias("label_n"))
@@ -80,8 +87,7 @@ def chi_square(df: DataFrame, label: str, features: dict[str, Column]) -> DataFr
     )
     expected = F.col("value_n") * F.col("label_n") / F.col("total")
     scored = (
-        cells.join(by_value, ["feature", "value"])
-        .join(by_label, ["feature", "label"])
+        _join_equal(_join_equal(cells, by_value, "value"), by_label, "label")
         .join(totals, "feature")
         .withColumn("expected", expected)
         .groupBy("feature")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from routeloom.functions.ordering import dense_index
 from routeloom.operators.arcs import ArcTable
 from routeloom.operators.contraction import contract
 from routeloom.operators.routes import symmetric
-from routeloom.workspace import freeze, freeze_counting
+from routeloom.workspace import discard, freeze, freeze_counting
 
 TREE_COLUMNS = "parent bigint, vertex bigint, edge_weight double, dist double"
 EDGE_COLUMNS = "src bigint, dst bigint, weight double"
@@ -29,7 +30,8 @@ def shortest_path_tree(
     of its own.  Among equal distances the path with fewer edges wins, then the
     smaller parent id.  ``keep_unreached`` adds the other vertices (of
     ``vertices``, or of the edges) with NULL parent and distance.  Negative
-    weights raise: an undirected negative edge has no shortest path.
+    weights raise: an undirected negative edge has no shortest path.  So does a
+    given source that is no vertex.
     """
     spark = edges.sparkSession
     edges = freeze(edges.select("src", "dst", "weight"), "edges")
@@ -40,12 +42,21 @@ def shortest_path_tree(
     ).first()
     if facts["least"] is not None and facts["least"] < 0:
         raise ValueError("shortest_path_tree needs weights >= 0")
+    if source is not None:
+        lone = edges.where((F.col("src") == source) | (F.col("dst") == source)).isEmpty()
+        if lone and (vertices is None or vertices.where(F.col("id") == source).isEmpty()):
+            raise ValueError(f"source {source} is no vertex of the graph")
     source = facts["first"] if source is None else source
     if source is None:
         tree = spark.createDataFrame([], TREE_COLUMNS)
     else:
-        with ArcTable(symmetric(edges), 2 * facts["n"]) as arcs:
-            tree = _relax(arcs, _start(arcs, source)).filter(F.col("vertex") != source)
+        both = symmetric(edges)
+        with ArcTable(both, 2 * facts["n"]) as arcs:
+            paths = freeze(_relax(arcs, source).where(F.col("vertex") != source), "paths")
+        weights = both.groupBy(F.col("src").alias("parent"), F.col("dst").alias("vertex")).agg(
+            F.min("weight").alias("edge_weight")
+        )
+        tree = paths.join(weights, ["parent", "vertex"])
         tree = tree.select("parent", "vertex", "edge_weight", "dist")
     if keep_unreached:
         known = symmetric(edges).select(F.col("src").alias("vertex")).distinct()
@@ -57,65 +68,59 @@ def shortest_path_tree(
     return tree
 
 
-def _start(arcs: ArcTable, source: int) -> DataFrame:
-    """The source and, one edge away, its neighbours."""
-    own = arcs.spark.range(1).selectExpr(
-        f"CAST({source} AS BIGINT) AS vertex",
-        "0D AS dist",
-        "0 AS hops",
-        "CAST(NULL AS BIGINT) AS parent",
-        "CAST(NULL AS DOUBLE) AS edge_weight",
-        "false AS fresh",
-    )
-    near = arcs.arcs.where(F.col("src") == source).selectExpr(
-        "dst AS vertex",
-        "0D + weight AS dist",
-        "1 AS hops",
-        "src AS parent",
-        "weight AS edge_weight",
-        "true AS fresh",
-    )
-    return own.union(near)
-
+def _relax(arcs: ArcTable, source: int) -> DataFrame:
+    """Send improved distances to neighbours until nothing improves; ``_PATH`` per vertex.
 
-def _relax(arcs: ArcTable, start: DataFrame) -> DataFrame:
-    """Send improved distances to neighbours until nothing improves."""
-    # In a small graph a job costs more than a step, so each job takes two.
-    steps = 2 if arcs.is_small else 1
-    best = start
+    Only improved vertices are written, a table per round.  Tables of like size
+    are merged, so there are never more than logarithmically many, and a row is
+    rewritten as often at most.  Merged tables are deleted.
+    """
+    own = f"CAST({source} AS BIGINT) AS vertex", "0D AS dist", "0 AS hops"
+    fresh = freeze(arcs.spark.range(1).selectExpr(*own, "CAST(NULL AS BIGINT) AS parent"), "best")
+    levels = [(fresh, 1)]
     while True:
-        for _ in range(steps):
-            best = _relax_once(arcs, best)
-        best, n_fresh = freeze_counting(best, "best", "fresh")
+        found = _improved(arcs, fresh, [known for known, _ in levels])
+        fresh, n_fresh = freeze_counting(found, "best")
         if not n_fresh:
-            return best
-
-
-def _relax_once(arcs: ArcTable, best: DataFrame) -> DataFrame:
-    """One step from the ``fresh`` vertices; marks those that improved."""
-    frontier = best.where("fresh").selectExpr("vertex AS src", "dist", "hops")
-    offers = arcs.send(frontier).selectExpr(
-        "dst AS vertex",
-        "dist + weight AS dist",
-        "hops + 1 AS hops",
-        "src AS parent",
-        "weight AS edge_weight",
-        "true AS fresh",
+            break
+        levels.append((fresh, n_fresh))
+        while len(levels) > 1 and levels[-2][1] <= 2 * levels[-1][1]:
+            (older, _), (newer, _) = levels[-2:]
+            levels[-2:] = [freeze_counting(_newest(older, newer), "best")]
+            discard(older)
+            if newer is not fresh:
+                discard(newer)
+    best = levels[0][0]
+    for newer, _ in levels[1:]:
+        best = _newest(best, newer)
+    return best
+
+
+def _newest(older: DataFrame, newer: DataFrame) -> DataFrame:
+    """A path found in a later round is always the better one."""
+    return newer.unionByName(older.join(newer.select("vertex"), "vertex", "left_anti"))
+
+
+def _improved(arcs: ArcTable, fresh: DataFrame, known: list[DataFrame]) -> DataFrame:
+    """Best paths by way of the ``fresh`` vertices, where they beat all known ones.
+
+    All paths of a round have the same number of edges, and more than any known
+    one, so only a smaller distance is better.
+    """
+    offers = arcs.send(fresh.selectExpr("vertex AS src", "dist", "hops")).selectExpr(
+        "dst AS vertex", "dist + weight AS dist", "hops + 1 AS hops", "src AS parent"
     )
-    held = best.selectExpr("vertex", "dist", "hops", "parent", "edge_weight", "false AS fresh")
+    held = known[0].selectExpr("vertex AS _vertex", "dist AS _dist")
+    for more in known[1:]:
+        held = held.unionByName(more.selectExpr("vertex AS _vertex", "dist AS _dist"))
+    least = offers.groupBy("vertex").agg(F.expr("min(dist) AS dist"))
+    beaten = (F.col("vertex") == F.col("_vertex")) & (F.col("_dist") <= F.col("dist"))
+    better = least.join(held, beaten, "left_anti")
     return (
-        held.union(offers)
-        .groupBy("vertex")
-        .agg(
-            F.expr("min(struct(dist, hops, parent, edge_weight)) AS new"),
-            F.expr("min(if(fresh, null, struct(dist, hops))) AS old"),
-        )
-        .selectExpr(
-            "vertex",
-            "new.*",
-            "old IS NULL OR new.dist < old.dist"
-            " OR (new.dist = old.dist AND new.hops < old.hops) AS fresh",
-        )
+        offers.join(better, ["vertex", "dist"])
+        .groupBy("vertex", "dist", "hops")
+        .agg(F.expr("min(parent) AS parent"))
+        .select("vertex", "dist", "hops", "parent")
     )
 
 
@@ -124,13 +129,11 @@ def minimum_spanning_forest(edges: DataFrame) -> DataFrame:
 
     Equal weights are ordered by ``(src, dst)``, so the forest is unique.
     """
-    found = contract(
-        edges.select("src", "dst", "weight", F.col("src").alias("s"), F.col("dst").alias("d")),
-        ["weight", "s", "d"],
-    ).picked(["s", "d", "weight"])
+    ranked = freeze(dense_index(edges, ["weight", "src", "dst"], "rank"), "ranked")
+    found = contract(ranked, ranked=True).picked()
     if found is None:
         return edges.sparkSession.createDataFrame([], EDGE_COLUMNS)
-    return found.select(F.col("s").alias("src"), F.col("d").alias("dst"), "weight")
+    return ranked.join(found, "rank").select("src", "dst", "weight")
 
 
 def as_edges(tree: DataFrame) -> DataFrame:

@@ -222,7 +222,7 @@ terms AS (
     SELECT word, row_number() OVER (ORDER BY sum(n) DESC, word) - 1 AS term
     FROM counts GROUP BY word HAVING count(*) >= {min_docs})
 SELECT doc_id, CAST(term AS BIGINT) AS term, word, n FROM counts JOIN terms USING (word)
-WHERE term < {size}"""
+{top}"""
 
 _KEYS = ", ".join(KEY)
 
@@ -332,8 +332,8 @@ SQL = {
     "bucketize_columns": f"""
         SELECT {_KEYS}, {_bucket_sql("l_quantity", SPLITS)} AS quantity_bucket,
                {_bucket_sql("l_extendedprice", PRICE_SPLITS)} AS price_bucket FROM lineitem""",
-    "count_vectorize": _TERMS.format(min_docs=MIN_DOCS, size=features.VOCABULARY),
-    "count_vectorize_top3": _TERMS.format(min_docs=MIN_DOCS, size=3),
+    "count_vectorize": _TERMS.format(min_docs=MIN_DOCS, top=""),
+    "count_vectorize_top3": _TERMS.format(min_docs=MIN_DOCS, top="WHERE term < 3"),
     "elementwise_product": f"""
         SELECT vec_id, position, CAST(x AS DOUBLE) * w AS x
         FROM (SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS position,

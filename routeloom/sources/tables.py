@@ -6,10 +6,10 @@ A route table has the columns ``origin_id``, ``destination_id`` (long) and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from routeloom.functions.ordering import dense_index
+from routeloom.functions.ordering import ranged
 from routeloom.functions.skew import lookup_join
 
 
@@ -54,24 +54,24 @@ def nation_lead_times(spark: SparkSession, folder: str) -> DataFrame:
 def user_hops(spark: SparkSession, folder: str) -> DataFrame:
     """A route from the user of each event to the user of the next event that day.
 
-    The next event is found by joining positions of the global order, not by a
-    window over a whole day.
+    Each range partition of the global order looks ahead in itself; its last
+    event meets the first one of the next partition.
     """
     events = table(spark, folder, "events").select("ts", "event_id", "user_id", "value")
-    ordered = dense_index(events, ["ts", "event_id"], "spot").withColumn("day", F.to_date("ts"))
-    following = ordered.select(
-        (F.col("spot") - 1).alias("spot"),
-        F.col("user_id").alias("destination_id"),
-        F.col("day").alias("next_day"),
+    rows = ranged(events, ["ts", "event_id"])
+    inside = Window.partitionBy("_part").orderBy("_pos")
+    following = F.lead(F.struct("user_id", "ts")).over(inside)
+    # one row per range partition
+    firsts = rows.where("_pos = 0").select("_part", F.struct("user_id", "ts").alias("_first"))
+    heads = firsts.select(
+        F.lag("_part").over(Window.orderBy("_part")).alias("_part"), F.col("_first")
     )
-    return (
-        ordered.join(following, "spot")
-        .filter(F.col("day") == F.col("next_day"))
-        .select(
-            F.col("user_id").alias("origin_id"),
-            "destination_id",
-            F.round(F.col("value") * 100).alias("departure_delay"),
-        )
+    ahead = rows.withColumn("_next", following).join(F.broadcast(heads), "_part", "left")
+    ahead = ahead.withColumn("_next", F.coalesce("_next", "_first"))
+    return ahead.where(F.to_date("ts") == F.to_date("_next.ts")).select(
+        F.col("user_id").alias("origin_id"),
+        F.col("_next.user_id").alias("destination_id"),
+        F.round(F.col("value") * 100).alias("departure_delay"),
     )
 
 

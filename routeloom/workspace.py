@@ -8,6 +8,7 @@ planner can choose a broadcast join only where the table is really small.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,14 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can read; made up only for local sessions."""
+    """Folder that every executor can read; made up only where driver and executors are one.
+
+    A folder named in ``spark.checkpoint.dir`` is taken at its word: a ``file:`` path there may
+    well be a mounted share.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     chosen = spark.sparkContext.getCheckpointDir()
     if chosen:
         return chosen
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="routeloom-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -38,7 +43,9 @@ def freeze(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once and return the written table."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    frozen = df.sparkSession.read.schema(df.schema).parquet(path)
+    frozen.stored_at = path
+    return frozen
 
 
 def freeze_counting(df: DataFrame, name: str, where: str | None = None) -> tuple[DataFrame, int]:
@@ -47,17 +54,10 @@ def freeze_counting(df: DataFrame, name: str, where: str | None = None) -> tuple
     return frozen, (frozen if where is None else frozen.where(where)).count()
 
 
-#: Rows per task below which splitting a small table further gains nothing.
-TASK_ROWS = 10_000
-
-
-def spread(df: DataFrame, n_rows: int, *by: str) -> DataFrame:
-    """Store a small table in one piece per core, as loops read it many times.
-
-    A large table already has many pieces and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    pieces = n_rows // TASK_ROWS
-    if not 1 < pieces <= cores * 100:
-        return df
-    return freeze(df.repartition(min(pieces, cores), *by), "spread")
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`freeze` wrote and nothing reads any more."""
+    path = getattr(df, "stored_at", None)
+    if path:
+        context = df.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)

@@ -1,41 +1,72 @@
 import random
+from collections import Counter
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from routeloom.functions import skew
 from routeloom.functions.ordering import dense_index, running_sums
+from routeloom.functions.skew import lookup_join
 from routeloom.functions.vectorised import centred, grouped_mean, multiply, with_group_mean
 from routeloom.workspace import freeze, new_path
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_join_with_hot_keys(spark, monkeypatch, how):
-    rows = [(0, i) for i in range(400)] + [(k, k) for k in range(1, 300)]
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_join_with_hot_keys(spark, how):
+    rows = [(0, i) for i in range(400)] + [(k, k) for k in range(1, 300)] + [(None, 7)] * 300
     left = freeze(spark.createDataFrame(rows, "k bigint, x bigint").repartition(4))
-    right = spark.createDataFrame([(k, str(k)) for k in range(0, 300, 2)], "k bigint, name string")
-    plain = sorted(map(tuple, left.join(right, "k", how).collect()), key=repr)
-    monkeypatch.setattr(skew, "HOT_FLOOR", 10)
-    split = skew.lookup_join(left, right, "k", how)
-    assert sorted(map(tuple, split.collect()), key=repr) == plain
-    assert skew.hot_keys(left, "k", len(rows)).count() < skew.HOT_KEYS
-
-
-def test_hot_rows_do_not_move(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_FLOOR", 10)
-    monkeypatch.setattr(skew, "HOT_KEYS", 10)
-    rows = [(0, i) for i in range(4000)] + [(k, k) for k in range(1, 300)]
-    left = freeze(spark.createDataFrame(rows, "k bigint, x bigint").repartition(4))
-    right = freeze(spark.range(300).withColumnRenamed("id", "k"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    table = {k: str(k) for k in range(0, 300, 2)}
+    right = spark.createDataFrame(list(table.items()), "k bigint, name string")
+    got = Counter(map(tuple, lookup_join(left, right, "k", how).collect()))
+    want = Counter((k, x, table.get(k)) for k, x in rows if how == "left" or k in table)
+    assert got == want
+
+
+@pytest.mark.parametrize("hot", [0, None])
+def test_hot_key_is_cut(spark, hot):
+    """Adaptive execution cuts the partition of a hot key, NULL too, at every size."""
+    rows = spark.range(60_000).selectExpr(
+        f"CAST(if(id % 3 = 0, {'NULL' if hot is None else hot}, id) AS BIGINT) AS k", "id AS x"
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        joined = skew.lookup_join(left, right, "k")
-        assert joined.count() == 4299
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        left = freeze(rows.repartition(6))
+        right = freeze(spark.range(60_000).withColumnRenamed("id", "k"))
+        joined = lookup_join(left, right, "k", "left")
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_lookup_join_refuses_other_joins(spark):
+    with pytest.raises(ValueError, match="balance"):
+        lookup_join(spark.range(1), spark.range(1), "id", "outer")
+
+
+def test_group_functions_with_nulls_and_overflow(spark):
+    rows = [(1, 2.0), (1, None), (None, 4.0), (None, 8.0), (2, None)]
+    df = spark.createDataFrame(rows, "k bigint, v double")
+    want = {1: 2.0, None: 6.0, 2: None}
+    assert {r["k"]: r["mean"] for r in grouped_mean(df, "k", "v").collect()} == want
+    got = with_group_mean(df, "k", "v").collect()
+    assert Counter((r["k"], r["v"], r["mean"]) for r in got) == Counter((*r, want[r[0]]) for r in rows)
+    middle = centred(df, "k", "v").where("k IS NULL").collect()
+    assert sorted(r["v"] for r in middle) == [-2.0, 2.0]
+    pairs = spark.createDataFrame([((1 << 53) + 1, 1), (None, 3)], "a bigint, b bigint")
+    assert [r[0] for r in pairs.select(multiply("a", "b")).collect()] == [(1 << 53) + 1, None]
+    large = spark.createDataFrame([(1 << 62, 4)], "a bigint, b bigint")
+    with pytest.raises(Exception, match="overflow"):
+        large.select(multiply("a", "b")).collect()
 
 
 def test_dense_index(spark):

@@ -1,26 +1,24 @@
-"""Graph operators against plain Python, on the small and on the large-table paths."""
+"""Graph operators against plain Python, with few buckets and with many and cut hubs."""
 
+import os
 import random
 
 import pytest
 
 from oracles import components, distances, ranks, spanning_forest, triangles
-from routeloom.functions import skew
 from routeloom.operators import arcs as arc_module
-from routeloom.operators import contraction, graph
+from routeloom.operators import contraction, graph, trees
 from routeloom.operators.analysis import bottleneck, complement_strength, tree_complement
 from routeloom.operators.trees import as_edges, minimum_spanning_forest, shortest_path_tree
+from routeloom.workspace import discard
 
 
-@pytest.fixture(params=["small", "large"])
+@pytest.fixture(params=["few", "many"])
 def scale(request, monkeypatch):
-    """Run as for small tables, then as for tables with hot keys and hubs."""
-    if request.param == "large":
-        monkeypatch.setattr(skew, "HOT_FLOOR", 5)
-        monkeypatch.setattr(skew, "HOT_KEYS", 8)
-        monkeypatch.setattr(arc_module, "LAYOUT_FLOOR", 5)
-        monkeypatch.setattr(arc_module, "BUCKET_ROWS", 20)
-        monkeypatch.setattr(contraction, "SMALL", 5)
+    """Run with few buckets, then with many and so with hubs in several of them."""
+    if request.param == "many":
+        monkeypatch.setattr(arc_module, "BUCKET_ROWS", 10)
+        monkeypatch.setattr(contraction, "CLIMBS", 1)
     return request.param
 
 
@@ -99,7 +97,6 @@ def test_ranks_and_neighbours(spark, scale):
 
 
 def test_large_layout_keeps_edges_in_place(spark, monkeypatch):
-    monkeypatch.setattr(arc_module, "LAYOUT_FLOOR", 5)
     monkeypatch.setattr(arc_module, "BUCKET_ROWS", 20)
     hub = [(0, v, 1.0) for v in range(1, 400)] + [(v, 0, 1.0) for v in range(1, 400)]
     arcs = spark.createDataFrame(hub, "src bigint, dst bigint, weight double")
@@ -170,6 +167,48 @@ def test_long_path(spark):
     assert minimum_spanning_forest(edges).count() == n
 
 
+def test_path_writes_few_rows(spark, monkeypatch):
+    """On a path of n vertices a round improves one; all rounds write O(n log n) rows."""
+    n, written = 32, []
+    plain = trees.freeze_counting
+
+    def counting(df, *args):
+        frozen, rows = plain(df, *args)
+        written.append(rows)
+        return frozen, rows
+
+    monkeypatch.setattr(trees, "freeze_counting", counting)
+    edges = edge_df(spark, {(v, v + 1): 1.0 for v in range(n)})
+    tree = trees.shortest_path_tree(edges, 0)
+    assert {r.vertex: r.dist for r in tree.collect()} == {v: float(v) for v in range(1, n + 1)}
+    assert sum(written) <= 2 * n * n.bit_length()
+
+
+def test_merged_rounds_are_deleted(spark, monkeypatch):
+    gone = []
+    monkeypatch.setattr(trees, "discard", lambda df: (gone.append(df.stored_at), discard(df)))
+    trees.shortest_path_tree(edge_df(spark, {(v, v + 1): 1.0 for v in range(6)}), 0).collect()
+    assert gone and not any(os.path.exists(path) for path in gone)
+
+
+def test_minima_need_no_sort(spark):
+    """Picks and offers are aggregated by hash."""
+    edges = edge_df(spark, {(1, 2): 1.0, (2, 3): 2.0, (1, 3): 3.0})
+    live = edges.selectExpr("src AS a", "dst AS b", "CAST(weight AS BIGINT) AS rank")
+    with arc_module.ArcTable(edges, 3) as arcs:
+        fresh = spark.createDataFrame([(1, 0.0, 0, None)], "vertex bigint, dist double, hops int, parent bigint")
+        frames = [contraction._ranked_hooks(live), contraction._hooks(live)]
+        frames.append(trees._improved(arcs, fresh, [fresh]))
+        for frame in frames:
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_unknown_source(spark):
+    with pytest.raises(ValueError, match="no vertex"):
+        shortest_path_tree(edge_df(spark, {(1, 2): 1.0}), 7)
+
+
 def test_forest_properties(spark):
     edges = hub_graph(5, lambda r: r.uniform(1, 9))
     df = edge_df(spark, edges)

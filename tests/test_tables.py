@@ -120,15 +120,13 @@ def test_curves(spark):
     assert areas.roc_area == pytest.approx(want)
 
 
-def test_spearman_with_ties_on_the_large_path(spark, monkeypatch):
-    from routeloom.functions import skew
-
+def test_spearman_with_ties_and_nulls(spark):
     r = random.Random(6)
     rows = [(float(r.randint(0, 3)), r.random()) for _ in range(300)]
-    df = spark.createDataFrame(rows, "a double, b double")
-    small = statistics.spearman(df, ["a", "b"]).first().corr
-    monkeypatch.setattr(skew, "HOT_FLOOR", 10)
-    large = statistics.spearman(df, ["a", "b"]).first().corr
+    # a NULL in one column takes no row from the other pairs
+    whole = [(*row, None if i % 4 else 1.0 * i) for i, row in enumerate(rows)]
+    df = spark.createDataFrame(whole, "a double, b double, c double")
+    found = {(x.a, x.b): x.corr for x in statistics.spearman(df, ["a", "b", "c"]).collect()}
 
     def rank(xs):
         return [sum(y < x for y in xs) + (sum(y == x for y in xs) + 1) / 2 for x in xs]
@@ -137,7 +135,33 @@ def test_spearman_with_ties_on_the_large_path(spark, monkeypatch):
     ma, mb = sum(a) / len(a), sum(b) / len(b)
     cov = sum((x - ma) * (y - mb) for x, y in zip(a, b))
     want = cov / math.sqrt(sum((x - ma) ** 2 for x in a) * sum((y - mb) ** 2 for y in b))
-    assert small == pytest.approx(want) and large == pytest.approx(want)
+    assert found["a", "b"] == pytest.approx(want) and found["a", "c"] is not None
+
+
+def test_nulls_are_values_of_their_own(spark):
+    df = spark.createDataFrame([(None, 1.0), (30.0, 1.0), (3.0, 0.0)], "x double, y double")
+    assert [r[0] for r in df.select(features.binarize("x", 25.0)).collect()] == [None, 1.0, 0.0]
+    rows = [("p", "u")] * 3 + [("p", None)] + [("q", "u")] + [("q", None)] * 3 + [(None, "u")] * 2
+    named = [("p", "u")] * 3 + [("p", "n")] + [("q", "u")] + [("q", "n")] * 3 + [("m", "u")] * 2
+    got, want = (
+        statistics.chi_square(spark.createDataFrame(r, "label string, x string"), "label", {"x": F.col("x")})
+        .first()
+        .asDict()
+        for r in (rows, named)
+    )
+    assert got["statistic"] == pytest.approx(want["statistic"]) and got["dof"] == want["dof"] == 2
+
+
+def test_missing_measures_fail(spark):
+    df = spark.createDataFrame([(1.0, None), (0.0, 2.0)] * 20, "label double, x double")
+    with pytest.raises(Exception, match="null"):
+        models.binary_scores(df, "label", ["x"]).collect()
+
+
+def test_vocabulary_is_whole(spark):
+    df = spark.createDataFrame([(1, "a b c"), (2, "a b d")], "id bigint, text string")
+    assert features.count_vectorize(df, "id", "text").count() == 6
+    assert features.count_vectorize(df, "id", "text", size=2).count() == 4
 
 
 def test_chi_square_agrees_with_spark(spark):
