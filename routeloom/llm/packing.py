@@ -138,7 +138,7 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = [t.content.lower() for t in added]
+        self.blank = [t.content for t in added if " " in t.content or "\n" in t.content]
         # byte-level vocabularies write blanks, controls and 0xAD as the characters from 256 on
         moved = [b for b in range(256) if b <= 32 or 127 <= b <= 160 or b == 173]
         self.written = {b: 256 + i for i, b in enumerate(moved)}
@@ -177,9 +177,8 @@ class WordTokens:
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         split = []
         for text in texts:
-            low = text.lower()
-            if any(s in low for s in self.special):
-                split.append([text])  # a special token may hold signs that end a word
+            if any(s in text for s in self.blank):
+                split.append([text])  # cutting at blanks would break such a special token
             else:
                 split.append(text.replace("\n", " ").split(" "))
         words = set(chain.from_iterable(split))
