@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from routeloom.workspace import discard, freeze, freeze_counting
 TREE_COLUMNS = "parent bigint, vertex bigint, edge_weight double, dist double"
 EDGE_COLUMNS = "src bigint, dst bigint, weight double"
 
+#: Tables of improved paths that are kept side by side.
+LEVELS = 8
+
 #: What the compatible output prints for the distance of a vertex it cannot reach.
 UNREACHED = 1.7976931348623157e308
 
@@ -71,9 +76,9 @@ def shortest_path_tree(
 def _relax(arcs: ArcTable, source: int) -> DataFrame:
     """Send improved distances to neighbours until nothing improves; ``_PATH`` per vertex.
 
-    Only improved vertices are written, a table per round.  Tables of like size
-    are merged, so there are never more than logarithmically many, and a row is
-    rewritten as often at most.  Merged tables are deleted.
+    Only improved vertices are written, a table per round.  When there are
+    ``LEVELS`` tables, the last ones of like size are merged, so a row is
+    rewritten logarithmically often at most.  Merged tables are deleted.
     """
     own = f"CAST({source} AS BIGINT) AS vertex", "0D AS dist", "0 AS hops"
     fresh = freeze(arcs.spark.range(1).selectExpr(*own, "CAST(NULL AS BIGINT) AS parent"), "best")
@@ -84,16 +89,16 @@ def _relax(arcs: ArcTable, source: int) -> DataFrame:
         if not n_fresh:
             break
         levels.append((fresh, n_fresh))
-        while len(levels) > 1 and levels[-2][1] <= 2 * levels[-1][1]:
-            (older, _), (newer, _) = levels[-2:]
-            levels[-2:] = [freeze_counting(_newest(older, newer), "best")]
-            discard(older)
-            if newer is not fresh:
-                discard(newer)
-    best = levels[0][0]
-    for newer, _ in levels[1:]:
-        best = _newest(best, newer)
-    return best
+        if len(levels) >= LEVELS:
+            first = len(levels) - 2
+            while first and levels[first - 1][1] <= 2 * sum(n for _, n in levels[first:]):
+                first -= 1
+            old = [table for table, _ in levels[first:]]
+            levels[first:] = [freeze_counting(reduce(_newest, old), "best")]
+            for table in old:
+                if table is not fresh:
+                    discard(table)
+    return reduce(_newest, [table for table, _ in levels])
 
 
 def _newest(older: DataFrame, newer: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from routeloom.plans import graph_sql as sql
 from routeloom.plans.delay_report import delay_report
 from routeloom.sources.flights import read_flights, with_defaults, write_flights
 from routeloom.sources.tables import (
+    daily_hops,
     lineitem_flights,
     nation_lead_times,
     nation_routes,
@@ -29,9 +30,9 @@ def user_edges(spark: SparkSession, folder: str) -> DataFrame:
     return routes.average_edges(user_hops(spark, folder))
 
 
-def short_user_edges(spark: SparkSession, folder: str) -> DataFrame:
-    """Hops whose mean is at most 100 cents: a graph of several components."""
-    return user_edges(spark, folder).filter("weight <= 100")
+def daily_edges(spark: SparkSession, folder: str) -> DataFrame:
+    """Hops between users of one day: a component or more for each day."""
+    return routes.average_edges(daily_hops(spark, folder))
 
 
 def _spanned(spark, folder):
@@ -51,7 +52,8 @@ def complement_strength(spark, folder):
 def scaled_edges(spark, folder):
     edges, tree = _spanned(spark, folder)
     strength = analysis.complement_strength(analysis.tree_complement(edges, tree))
-    return analysis.scale_vertex(edges, analysis.bottleneck(strength), FACTOR)
+    worst = freeze(analysis.bottleneck(strength), "worst")
+    return analysis.scale_vertex(edges, worst, FACTOR)
 
 
 def _report(spark, folder, mode="mst"):
@@ -98,14 +100,14 @@ def unreached_neighbors(spark, folder):
 
 
 def spt_users_sparse(spark, folder):
-    hops = freeze(user_hops(spark, folder), "routes")
-    edges = routes.average_edges(hops).filter("weight <= 100")
+    hops = freeze(daily_hops(spark, folder), "routes")
+    edges = routes.average_edges(hops)
     return trees.shortest_path_tree(edges, vertices=routes.vertices(hops), keep_unreached=True)
 
 
 def spt_compat(spark, folder):
-    hops = freeze(user_hops(spark, folder), "routes")
-    edges = freeze(routes.average_edges(hops).filter("weight <= 100"), "edges")
+    hops = freeze(daily_hops(spark, folder), "routes")
+    edges = freeze(routes.average_edges(hops), "edges")
     source = routes.default_source(edges).first()[0]
     tree = trees.shortest_path_tree(edges, source, routes.vertices(hops), keep_unreached=True)
     return trees.reference_rows(tree, source)
@@ -150,7 +152,7 @@ QUERIES = {
     "spt_compat_rows": spt_compat,
     "mst_nation": lambda s, d: trees.minimum_spanning_forest(nation_edges(s, d)),
     "mst_users": lambda s, d: trees.minimum_spanning_forest(user_edges(s, d)),
-    "msf_users_sparse": lambda s, d: trees.minimum_spanning_forest(short_user_edges(s, d)),
+    "msf_users_sparse": lambda s, d: trees.minimum_spanning_forest(daily_edges(s, d)),
     "mst_lead_times": lambda s, d: trees.minimum_spanning_forest(
         routes.average_edges(nation_lead_times(s, d))
     ),
@@ -169,7 +171,7 @@ QUERIES = {
 
 _NATION = (sql.NATION_ROUTES, sql.EDGES)
 _USERS = (sql.USER_ROUTES, sql.EDGES)
-_SPARSE = (sql.USER_ROUTES, sql.SHORT_EDGES)
+_SPARSE = (sql.DAILY_ROUTES, sql.EDGES)
 _MST_BEFORE = (*_NATION, sql.spanning("edges", "tree", 5), sql.relief("tree"))
 _MST_AFTER = (*_MST_BEFORE, sql.spanning("scaled", "later", 5))
 _SPT_AFTER = (

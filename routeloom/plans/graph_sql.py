@@ -7,6 +7,8 @@ rank or higher (a minimax closure), and shortest paths are unrolled rounds.
 
 from __future__ import annotations
 
+from routeloom.sources.tables import DAY_IDS
+
 FACTOR = 0.43
 
 NATION_ROUTES = """
@@ -44,9 +46,17 @@ edges AS MATERIALIZED (
 
 ALL_EDGES = EDGES.replace("SELECT DISTINCT least", "SELECT least")
 
-SHORT_EDGES = EDGES.replace(
-    "GROUP BY src, dst)", "GROUP BY src, dst HAVING sum(delay) / count(*) <= 100)"
-)
+DAILY_ROUTES = f"""
+routes AS MATERIALIZED (
+    SELECT day * {DAY_IDS} + origin AS origin_id, day * {DAY_IDS} + destination AS destination_id,
+           departure_delay
+    FROM (
+        SELECT date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS day, user_id AS origin,
+               lead(user_id) OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id)
+                   AS destination,
+               round(value * 100) AS departure_delay
+        FROM events)
+    WHERE destination IS NOT NULL)"""
 
 VERTICES = """
 ids AS MATERIALIZED (

@@ -8,7 +8,7 @@ from routeloom.operators import graph, routes
 from routeloom.plans import graph_sql as sql
 from routeloom.plans.graph_queries import user_edges
 from routeloom.sources.edge_list import read_edge_list, write_lines
-from routeloom.sources.tables import table, user_hops
+from routeloom.sources.tables import DAY_IDS, daily_hops, table, user_hops
 from routeloom.workspace import freeze, new_path
 
 ROUNDS = 10
@@ -45,14 +45,15 @@ def saved_ranks(spark, folder):
 
 
 def connected_components(spark, folder):
-    hops = freeze(user_hops(spark, folder), "routes")
-    edges = routes.average_edges(hops).where("weight <= 100")
+    hops = freeze(daily_hops(spark, folder), "routes")
+    edges = routes.average_edges(hops)
     return graph.connected_components(routes.vertices(hops), edges)
 
 
 def component_names(spark, folder):
-    people = table(spark, folder, "customer").selectExpr("c_custkey AS id", "c_name AS name")
-    return connected_components(spark, folder).join(people, "id").select("name", "component")
+    people = table(spark, folder, "customer").selectExpr("c_custkey AS user", "c_name AS name")
+    found = connected_components(spark, folder).withColumn("user", F.col("id") % DAY_IDS)
+    return found.join(people, "user").select("name", "component")
 
 
 def triangle_total(spark, folder):
@@ -121,7 +122,7 @@ c{k + 1} AS MATERIALIZED (
     return ",".join(steps)
 
 
-_COMPONENTS = (sql.USER_ROUTES, sql.VERTICES, sql.SHORT_EDGES, _components(24))
+_COMPONENTS = (sql.DAILY_ROUTES, sql.VERTICES, sql.EDGES, _components(24))
 
 _TRIANGLES = """
 tri AS MATERIALIZED (
@@ -150,7 +151,8 @@ SQL = {
     "connected_components": sql.query(*_COMPONENTS, select="SELECT id, component FROM c24"),
     "component_names": sql.query(
         *_COMPONENTS,
-        select="SELECT c_name AS name, component FROM c24 JOIN customer ON c_custkey = id",
+        select="SELECT c_name AS name, component FROM c24"
+        f" JOIN customer ON c_custkey = id % {DAY_IDS}",
     ),
     "triangle_count": sql.query(sql.USER_ROUTES, sql.EDGES, _TRIANGLES, select=_PER_VERTEX),
     "triangle_total": sql.query(

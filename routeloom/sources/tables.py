@@ -52,7 +52,12 @@ def nation_lead_times(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_hops(spark: SparkSession, folder: str) -> DataFrame:
-    """A route from the user of each event to the user of the next event that day.
+    """A route from the user of each event to the user of the next event that day."""
+    return _hops(spark, folder)
+
+
+def _hops(spark: SparkSession, folder: str, by_day: bool = False) -> DataFrame:
+    """Routes between the users of successive events of a day.
 
     Each range partition of the global order looks ahead in itself; its last
     event meets the first one of the next partition.
@@ -68,13 +73,23 @@ def user_hops(spark: SparkSession, folder: str) -> DataFrame:
     )
     ahead = rows.withColumn("_next", following).join(F.broadcast(heads), "_part", "left")
     ahead = ahead.withColumn("_next", F.coalesce("_next", "_first"))
+    day = F.unix_date(F.to_date("ts")).cast("long") * DAY_IDS if by_day else F.lit(0)
     return ahead.where(F.to_date("ts") == F.to_date("_next.ts")).select(
-        F.col("user_id").alias("origin_id"),
-        F.col("_next.user_id").alias("destination_id"),
+        (day + F.col("user_id")).alias("origin_id"),
+        (day + F.col("_next.user_id")).alias("destination_id"),
         F.round(F.col("value") * 100).alias("departure_delay"),
     )
 
 
+#: Vertices of a day are numbered from the day's number times this.
+DAY_IDS = 1 << 32
+
+
+def daily_hops(spark: SparkSession, folder: str) -> DataFrame:
+    """As :func:`user_hops`, with a vertex for each user and day: no route leaves its day."""
+    return _hops(spark, folder, by_day=True)
+
+
 def supplier_part_routes(spark: SparkSession, folder: str) -> DataFrame:
     """Routes between suppliers (even ids) and parts (odd ids)."""
     return table(spark, folder, "lineitem").select(

@@ -187,6 +187,7 @@ def test_path_writes_few_rows(spark, monkeypatch):
 def test_merged_rounds_are_deleted(spark, monkeypatch):
     gone = []
     monkeypatch.setattr(trees, "discard", lambda df: (gone.append(df.stored_at), discard(df)))
+    monkeypatch.setattr(trees, "LEVELS", 3)
     trees.shortest_path_tree(edge_df(spark, {(v, v + 1): 1.0 for v in range(6)}), 0).collect()
     assert gone and not any(os.path.exists(path) for path in gone)
 
