@@ -157,7 +157,7 @@ def binary_scores(
     df: DataFrame, label: str, numbers: list[str], kind: str = "logistic", l1: bool = False,
     reg: float = 0.01, overrides: dict | None = None,
 ) -> DataFrame:
-    """Scores ``(label, score)`` of a linear classifier on a held-back 40 percent.
+    """Scores ``(label, score)`` of a linear classifier on a held-back 30 percent.
 
     ``overrides`` replaces learner parameters, by name, for this fit only.  A missing measure
     fails the query; the caller decides what to put in its place.
@@ -165,7 +165,7 @@ def binary_scores(
     rows = df.select(F.col(label).cast("double").alias("label"), *numbers)
     gather = VectorAssembler(inputCols=numbers, outputCol="features", handleInvalid="error")
     points = freeze(gather.transform(rows).select("label", "features"), "points")
-    training, test = points.randomSplit([0.6, 0.4], 11)
+    training, test = points.randomSplit([0.7, 0.3], SEED)
     if kind == "logistic":
         learner = LogisticRegression(regParam=reg, elasticNetParam=1.0 if l1 else 0.0, maxIter=50)
         score = vector_to_array("probability")[1]
@@ -181,60 +181,94 @@ def score_areas(scores: DataFrame) -> DataFrame:
     return curve_areas(threshold_metrics(freeze(scores, "scores"), "score", "label"))
 
 
-def survival(
-    df: DataFrame, time: str, observed: str, numbers: list[str], quantiles: list[float]
-) -> DataFrame:
-    """Survival regression with censoring: fitted terms ``(term, value)``.
+class Survival:
+    """Survival regression with censoring, fitted to all rows.
 
-    ``observed`` is 1 where the end was seen and 0 where it was censored.
+    ``observed`` is 1 where the end was seen and 0 where it was censored; times
+    must be positive.
     """
-    rows = df.select(
-        F.col(time).cast("double").alias("label"),
-        F.col(observed).cast("double").alias("censor"),
-        *numbers,
-    )
-    gather = VectorAssembler(inputCols=numbers, outputCol="features")
-    points = freeze(gather.transform(rows).select("label", "censor", "features"), "points")
-    learner = AFTSurvivalRegression(
-        quantileProbabilities=quantiles, quantilesCol="quantiles", maxIter=50
-    )
-    model = learner.fit(points)
-    terms = [("intercept", float(model.intercept)), ("scale", float(model.scale))]
-    terms += [(name, float(c)) for name, c in zip(numbers, model.coefficients)]
-    fitted = model.transform(points).select(vector_to_array("quantiles").alias("q"))
-    means = [F.avg(F.col("q")[i]).alias(f"quantile {p}") for i, p in enumerate(quantiles)]
-    names = [F.col(f"`quantile {p}`") for p in quantiles]
-    levels = fitted.agg(*means).unpivot([], names, "term", "value")
-    return df.sparkSession.createDataFrame(terms, "term string, value double").unionByName(levels)
-
-
-def cross_validated_text(texts: DataFrame, column: str, label: str) -> DataFrame:
-    """Two-fold search over text classifiers: ``(features, reg, area, best)`` per setting."""
-    labelled = texts.select(
-        F.col(column).alias("text"), F.col(label).cast("double").alias("label")
-    )
-    rows = freeze(labelled, "texts")
-    hashing = HashingTF(inputCol="words", outputCol="features")
-    learner = LogisticRegression(maxIter=10)
-    pipeline = Pipeline(stages=[Tokenizer(inputCol="text", outputCol="words"), hashing, learner])
-    grid = (
-        ParamGridBuilder()
-        .addGrid(hashing.numFeatures, [10, 100, 1000])
-        .addGrid(learner.regParam, [0.1, 0.01])
-        .build()
-    )
-    search = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
-        numFolds=2, seed=SEED, parallelism=2,
-    )
-    areas = search.fit(rows).avgMetrics
-    found = [
-        (int(p[hashing.numFeatures]), float(p[learner.regParam]), float(a), bool(a == max(areas)))
-        for p, a in zip(grid, areas)
-    ]
-    return texts.sparkSession.createDataFrame(
-        found, "features int, reg double, area double, best boolean"
-    )
+
+    def __init__(
+        self, df: DataFrame, time: str, observed: str, numbers: list[str], quantiles: list[float]
+    ):
+        self.numbers, self.quantiles = numbers, quantiles
+        rows = df.withColumns(
+            {
+                "label": F.col(time).cast("double"),
+                "censor": F.col(observed).cast("double"),
+            }
+        )
+        gather = VectorAssembler(inputCols=numbers, outputCol="features")
+        self.points = freeze(gather.transform(rows), "points")
+        learner = AFTSurvivalRegression(
+            quantileProbabilities=quantiles, quantilesCol="quantiles", maxIter=50
+        )
+        self.model = learner.fit(self.points)
+
+    def predicted(self, *keep: str) -> DataFrame:
+        """Per row: the columns ``keep``, the expected time, and its quantiles."""
+        found = self.model.transform(self.points)
+        return found.select(*keep, "prediction", vector_to_array("quantiles").alias("quantiles"))
+
+    def terms(self) -> DataFrame:
+        """Fitted terms and mean quantiles as ``(term, value)``."""
+        model = self.model
+        terms = [("intercept", float(model.intercept)), ("scale", float(model.scale))]
+        terms += [(name, float(c)) for name, c in zip(self.numbers, model.coefficients)]
+        named = [(i, f"quantile {p}") for i, p in enumerate(self.quantiles)]
+        means = [F.avg(F.col("quantiles")[i]).alias(name) for i, name in named]
+        columns = [F.col(f"`{name}`") for _, name in named]
+        levels = self.predicted().agg(*means).unpivot([], columns, "term", "value")
+        session = self.points.sparkSession
+        return session.createDataFrame(terms, "term string, value double").unionByName(levels)
+
+
+class TextSearch:
+    """Two-fold search over text classifiers; its best model is fitted to all labelled rows."""
+
+    def __init__(self, texts: DataFrame, column: str, label: str):
+        self.column = column
+        labelled = texts.select(
+            F.col(column).alias("text"), F.col(label).cast("double").alias("label")
+        )
+        rows = freeze(labelled, "texts")
+        self._search(rows)
+
+    def _search(self, rows: DataFrame) -> None:
+        hashing = HashingTF(inputCol="words", outputCol="features")
+        learner = LogisticRegression(maxIter=20)
+        words = Tokenizer(inputCol="text", outputCol="words")
+        grid = (
+            ParamGridBuilder()
+            .addGrid(hashing.numFeatures, [1 << 8, 1 << 12])
+            .addGrid(learner.regParam, [0.3, 0.03])
+            .build()
+        )
+        search = CrossValidator(
+            estimator=Pipeline(stages=[words, hashing, learner]), estimatorParamMaps=grid,
+            evaluator=BinaryClassificationEvaluator(), numFolds=2, seed=SEED, parallelism=2,
+        ).fit(rows)
+        self.session, self.model = rows.sparkSession, search.bestModel
+        best = max(search.avgMetrics)
+        self.found = [
+            (int(p[hashing.numFeatures]), float(p[learner.regParam]), float(a), bool(a == best))
+            for p, a in zip(grid, search.avgMetrics)
+        ]
+
+    def settings(self) -> DataFrame:
+        """``(features, reg, area, best)`` per setting."""
+        return self.session.createDataFrame(
+            self.found, "features int, reg double, area double, best boolean"
+        )
+
+    def predicted(self, texts: DataFrame, *keep: str) -> DataFrame:
+        """The best model's probability and prediction for each text, known label or not."""
+        named = texts.select(*keep, F.coalesce(self.column, F.lit("")).alias("text"))
+        return self.model.transform(named).select(
+            *keep,
+            vector_to_array("probability")[1].alias("probability"),
+            F.col("prediction").cast("int").alias("predicted"),
+        )
 
 
 def chi_square_test(df: DataFrame, label: str, numbers: list[str]) -> DataFrame:

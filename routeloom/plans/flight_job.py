@@ -28,14 +28,17 @@ def analyse_flights(
     source: int | None = None,
     distinct: bool = True,
     seed: int | None = None,
+    strict: bool = True,
 ) -> tuple[DataFrame, DelayReport]:
     """Read flights and analyse their delays; returns the place dictionary and the report.
 
     ``source`` is a place id, the start of a shortest-path tree.  ``distinct``
-    counts equal delays of a route once.
+    counts equal delays of a route once.  Any malformed field, and any blank
+    line, fails the job; with ``strict=False`` only the three fields that the
+    analysis uses are read and checked.
     """
     factor = choose_factor(factor, seed)
-    flights = read_flights(spark, path)
+    flights = read_flights(spark, path, strict)
     routes = freeze(flights.select("origin_id", "destination_id", "departure_delay"), "routes")
     index = freeze(vertex_index(vertices(routes)), "index")
     return index, delay_report(average_edges(routes, distinct), factor, mode, source)

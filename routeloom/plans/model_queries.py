@@ -91,7 +91,7 @@ def classifier_areas(spark, folder):
     settings = {
         "logistic l2": {"kind": "logistic"},
         "logistic l1": {"kind": "logistic", "l1": True},
-        "logistic override": {"overrides": {"maxIter": 30, "regParam": 0.1, "threshold": 0.55}},
+        "logistic override": {"overrides": {"maxIter": 30, "regParam": 0.1, "tol": 1e-5}},
         "svm": {"kind": "svm"},
     }
     out = None
@@ -102,20 +102,36 @@ def classifier_areas(spark, folder):
     return out
 
 
-def survival(spark, folder):
-    line = _line(spark, folder).select("l_orderkey", "l_shipdate", "l_linestatus", *NUMBERS)
+def _survival(spark, folder):
+    line = _line(spark, folder)
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     trips = (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumn("days", F.datediff("l_shipdate", "o_orderdate"))
-        .where("days > 0")
+        # days between the two, whichever comes first, counting both: positive for all rows
+        .withColumn("days", F.abs(F.datediff("l_shipdate", "o_orderdate")) + 1)
         .withColumn("observed", F.col("l_linestatus") == "F")
     )
-    return models.survival(
-        trips, "days", "observed", ["l_quantity", "l_discount", "l_tax"], [0.3, 0.6]
+    return models.Survival(
+        trips, "days", "observed", ["l_quantity", "l_discount", "l_tax"], [0.25, 0.5, 0.75]
     )
 
 
+def survival_rows(spark, folder):
+    """For each line item the expected days and their quantiles."""
+    found = _survival(spark, folder).predicted("l_orderkey", "l_linenumber", "l_partkey")
+    return found.withColumnRenamed("prediction", "days")
+
+
+def _text_search(spark, folder):
+    return models.TextSearch(_graded(spark, folder), "text", "quality")
+
+
+def text_predictions(spark, folder):
+    """The best model's prediction for every document."""
+    documents = table(spark, folder, "documents")
+    return _text_search(spark, folder).predicted(documents, "doc_id")
+
+
 def _bins(spark, folder):
     line = _line(spark, folder)
     return line.select(
@@ -153,10 +169,10 @@ QUERIES = {
     "forest_accuracy": lambda s, d: models.accuracy(forest_classifier(s, d)),
     "tree_regressor": tree_regressor,
     "classifier_areas": classifier_areas,
-    "survival_regression": survival,
-    "cross_validated_text": lambda s, d: models.cross_validated_text(
-        _graded(s, d), "text", "quality"
-    ),
+    "survival_regression": lambda s, d: _survival(s, d).terms(),
+    "survival_rows": survival_rows,
+    "cross_validated_text": lambda s, d: _text_search(s, d).settings(),
+    "text_predictions": text_predictions,
     "chi_square_test": chi_square_test,
     "chi_square_select": lambda s, d: models.chi_square_select(
         _bins(s, d), "l_returnflag", BINS, 2

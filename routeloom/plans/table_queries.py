@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from routeloom.functions.vectorised import centred, grouped_mean, multiply, with_group_mean
 from routeloom.operators.words import word_counts, word_total
@@ -80,23 +81,32 @@ def _line(spark, folder):
 
 def _nested(spark, folder):
     people = table(spark, folder, "customer")
-    return people.select("c_custkey", F.struct("c_name", "c_mktsegment").alias("who"))
+    return people.select("c_custkey", F.struct("c_name", "c_mktsegment", "c_nationkey").alias("who"), "c_acctbal")
 
 
 def roundtrip_json(spark, folder):
-    return round_trip(_nested(spark, folder), "json").select("c_custkey", "who.*")
+    return round_trip(_nested(spark, folder), "json").select("c_custkey", "who.*", "c_acctbal")
 
 
 def roundtrip_csv(spark, folder):
-    people = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
-    back = round_trip(people, "csv", infer=True)
-    return back.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+    """All columns, of the types that inference gives them."""
+    return round_trip(table(spark, folder, "customer"), "csv", infer=True)
+
+
+def roundtrip_times(spark, folder):
+    """Timestamps and dates by way of text."""
+    orders = table(spark, folder, "orders").withColumn("day", F.to_date("o_orderdate"))
+    return round_trip(round_trip(orders, "json"), "csv")
+
+
+def roundtrip_arrays(spark, folder):
+    """Arrays by way of JSON and ORC."""
+    vectors = round_trip(round_trip(table(spark, folder, "embeddings"), "json"), "orc")
+    return vectors.select("vec_id", "label", F.posexplode("embedding").alias("position", "x"))
 
 
 def roundtrip_partitioned(spark, folder):
-    return round_trip(_line(spark, folder), "parquet", partition_by=["l_returnflag"]).where(
-        "l_returnflag = 'R'"
-    )
+    return round_trip(_line(spark, folder), "parquet", partition_by=["l_returnflag"])
 
 
 def roundtrip_bucketed(spark, folder):
@@ -115,11 +125,44 @@ def roundtrip_bucketed(spark, folder):
     return stored
 
 
+def partitioned_and_bucketed(spark, folder):
+    name = bucketed(_line(spark, folder), ["l_orderkey"], 4, ["l_orderkey"], ["l_returnflag"])
+    stored = freeze(spark.table(name), "lines")
+    drop_table(spark, name)
+    return stored
+
+
+def built_schema(spark, folder):
+    """Records of text, read by a schema put together at run time from the table's own types."""
+    people = table(spark, folder, "customer")
+    texts = people.select(
+        F.to_json(
+            F.struct(
+                "c_custkey", "c_name", "c_acctbal",
+                F.struct(
+                    F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")
+                ).alias("place"),
+            )
+        ).alias("record")
+    )
+    place = T.StructType(
+        [
+            T.StructField("nation", people.schema["c_nationkey"].dataType),
+            T.StructField("segment", people.schema["c_mktsegment"].dataType),
+        ]
+    )
+    kept = [people.schema[c] for c in ("c_custkey", "c_name", "c_acctbal")]
+    schema = T.StructType([*kept, T.StructField("place", place)])
+    return texts.select(F.from_json("record", schema, {"mode": "FAILFAST"}).alias("r")).select(
+        "r.c_custkey", "r.c_name", "r.c_acctbal", "r.place.nation", "r.place.segment"
+    )
+
+
 def file_by_sql(spark, folder):
     path = new_path(spark, "parts")
     part = table(spark, folder, "part").select("p_partkey", "p_brand", "p_size")
     write_table(part, path, "parquet")
-    return read_by_sql(spark, path).where("p_size > 10")
+    return read_by_sql(spark, path)
 
 
 def merge_schema(spark, folder):
@@ -150,15 +193,19 @@ QUERIES = {
     "sql_group_count": sql_group_count,
     "sql_global_view": sql_global_view,
     "format_roundtrip_parquet": lambda s, d: round_trip(
-        _line(s, d), "parquet", bloom_columns=["l_orderkey"]
+        table(s, d, "lineitem"), "parquet", bloom_columns=["l_orderkey"]
     ),
     "format_roundtrip_orc": lambda s, d: round_trip(
-        _line(s, d), "orc", bloom_columns=["l_orderkey"]
+        table(s, d, "lineitem"), "orc", bloom_columns=["l_orderkey"]
     ),
+    "format_roundtrip_times": roundtrip_times,
+    "format_roundtrip_arrays": roundtrip_arrays,
     "format_roundtrip_json": roundtrip_json,
     "format_roundtrip_csv": roundtrip_csv,
     "format_roundtrip_partitioned": roundtrip_partitioned,
     "format_roundtrip_bucketed": roundtrip_bucketed,
+    "partitioned_and_bucketed": partitioned_and_bucketed,
+    "built_schema": built_schema,
     "file_by_sql": file_by_sql,
     "merge_schema": merge_schema,
     "udf_scalar": udf_scalar,
@@ -203,15 +250,28 @@ SQL = {
     "sql_group_count": "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment",
     "sql_global_view": """
         SELECT c_custkey, c_name FROM customer WHERE c_acctbal >= 1300 AND c_acctbal <= 1900""",
-    "format_roundtrip_parquet": _LINE,
-    "format_roundtrip_orc": _LINE,
-    "format_roundtrip_json": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
-    "format_roundtrip_csv": "SELECT c_custkey, c_name, c_acctbal FROM customer",
-    "format_roundtrip_partitioned": f"{_LINE} WHERE l_returnflag = 'R'",
+    "format_roundtrip_parquet": "SELECT * FROM lineitem",
+    "format_roundtrip_orc": "SELECT * FROM lineitem",
+    "format_roundtrip_times": "SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders",
+    "format_roundtrip_arrays": """
+        SELECT vec_id, label, CAST(unnest(range(len(embedding))) AS INTEGER) AS position,
+               unnest(embedding) AS x
+        FROM embeddings""",
+    "format_roundtrip_json": """
+        SELECT c_custkey, c_name, c_mktsegment, c_nationkey, c_acctbal FROM customer""",
+    "format_roundtrip_csv": """
+        SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+        FROM customer""",
+    "format_roundtrip_partitioned": _LINE,
+    "partitioned_and_bucketed": _LINE,
+    "built_schema": """
+        SELECT c_custkey, c_name, c_acctbal,
+               c_nationkey AS nation, c_mktsegment AS segment
+        FROM customer""",
     "format_roundtrip_bucketed": """
         SELECT l_orderkey, max(o_totalprice) AS price, sum(l_quantity) AS quantity
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey""",
-    "file_by_sql": "SELECT p_partkey, p_brand, p_size FROM part WHERE p_size > 10",
+    "file_by_sql": "SELECT p_partkey, p_brand, p_size FROM part",
     "merge_schema": """
         SELECT p_partkey, p_size * p_size AS square, CAST(NULL AS INTEGER) AS cube, 1 AS part
         FROM part

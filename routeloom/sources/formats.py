@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from routeloom.workspace import new_path
 
-# Writer options of each format.
+#: Writer options of each format.
 WRITE_OPTIONS = {
     "parquet": {},
     "json": {},
     "csv": {"header": True, "sep": ";"},
-    "orc": {"orc.dictionary.key.threshold": "1.0"},
+    "orc": {},
 }
 
 
@@ -60,10 +60,21 @@ def read_by_sql(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.sql(f"SELECT * FROM {fmt}.`{path}`")
 
 
-def bucketed(df: DataFrame, by: list[str], buckets: int, sort_by: list[str]) -> str:
-    """Write a bucketed, sorted table and return its name; joins on ``by`` need no shuffle."""
+def bucketed(
+    df: DataFrame,
+    by: list[str],
+    buckets: int,
+    sort_by: list[str],
+    partition_by: list[str] | None = None,
+) -> str:
+    """Write a bucketed, sorted table and return its name; joins on ``by`` need no shuffle.
+
+    With ``partition_by`` each folder of these columns' values holds its own buckets.
+    """
     name = f"routeloom_{uuid.uuid4().hex}"
     writer = df.write.bucketBy(buckets, *by).sortBy(*sort_by)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.option("path", new_path(df.sparkSession, "bucketed")).saveAsTable(name)
     return name
 
