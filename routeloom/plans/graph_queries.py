@@ -14,6 +14,7 @@ from routeloom.sources.tables import (
     lineitem_flights,
     nation_lead_times,
     nation_routes,
+    supplier_part_routes,
     table,
     user_hops,
 )
@@ -41,6 +42,12 @@ def _spanned(spark, folder):
     return edges, trees.minimum_spanning_forest(edges)
 
 
+def supplier_part_forest(spark, folder):
+    return trees.minimum_spanning_forest(
+        routes.average_edges(supplier_part_routes(spark, folder))
+    )
+
+
 def tree_complement(spark, folder):
     return analysis.tree_complement(*_spanned(spark, folder))
 
@@ -153,6 +160,10 @@ QUERIES = {
     "mst_nation": lambda s, d: trees.minimum_spanning_forest(nation_edges(s, d)),
     "mst_users": lambda s, d: trees.minimum_spanning_forest(user_edges(s, d)),
     "msf_users_sparse": lambda s, d: trees.minimum_spanning_forest(daily_edges(s, d)),
+    "msf_supplier_part": supplier_part_forest,
+    "msf_supplier_part_size": lambda s, d: supplier_part_forest(s, d).agg(
+        F.count("*").alias("edges")
+    ),
     "mst_lead_times": lambda s, d: trees.minimum_spanning_forest(
         routes.average_edges(nation_lead_times(s, d))
     ),
@@ -273,6 +284,14 @@ rows_ AS (SELECT o.i AS oi, src, d.i AS di, dst, weight FROM edges
     "msf_users_sparse": sql.query(
         *_SPARSE, sql.spanning("edges", "tree", 8), select="SELECT * FROM tree"
     ),
+    # A forest has as many edges as there are vertices less components.
+    "msf_supplier_part_size": sql.query(
+        sql.SUPPLIER_PART_ROUTES,
+        sql.EDGES,
+        sql.VERTICES,
+        sql.components(8),
+        select="SELECT count(*) - count(DISTINCT component) AS edges FROM c8",
+    ),
     "mst_lead_times": sql.query(
         sql.LEAD_TIME_ROUTES,
         sql.EDGES,

@@ -63,6 +63,32 @@ ids AS MATERIALIZED (
     SELECT origin_id AS id FROM routes UNION SELECT destination_id FROM routes)"""
 
 
+SUPPLIER_PART_ROUTES = """
+routes AS MATERIALIZED (
+    SELECT l_suppkey * 2 AS origin_id, l_partkey * 2 + 1 AS destination_id,
+           l_quantity AS departure_delay
+    FROM lineitem)"""
+
+
+def components(rounds: int) -> str:
+    """CTEs that end in ``c{rounds}(id, component)``, after so many rounds of least labels."""
+    steps = [
+        """
+links AS MATERIALIZED (
+    SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges
+    UNION SELECT id, id FROM ids),
+c0 AS MATERIALIZED (SELECT id, id AS component FROM ids)"""
+    ]
+    for k in range(rounds):
+        steps.append(
+            f"""
+c{k + 1} AS MATERIALIZED (
+    SELECT l.a AS id, min(c.component) AS component
+    FROM links l JOIN c{k} c ON c.id = l.b GROUP BY l.a)"""
+        )
+    return ",".join(steps)
+
+
 def spanning(edges: str, name: str, rounds: int) -> str:
     """CTEs that end in ``{name}(src, dst, weight)``, the forest of ``edges``."""
     steps = [

@@ -186,7 +186,27 @@ _BIN_SQL = {
     "discount": "CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR)",
 }
 
+_P_VALUES = """
+        p_values AS (
+            SELECT feature, exp(-any_value(statistic) / 2)
+                     * sum(pow(statistic / 2, k) / gamma(k + 1)) AS p
+            FROM tested, LATERAL (SELECT unnest(range(CAST(dof / 2 AS BIGINT))) AS k) ks
+            GROUP BY feature)"""
+_PLACED = ", ".join(
+    f"CASE WHEN list_contains(c.names, '{name}') THEN CAST({text} AS DOUBLE) END"
+    for name, text in _BIN_SQL.items()
+)
+
 SQL = {
+    "chi_square_select": chi_square_sql(_BIN_SQL)
+    + f""", {_P_VALUES},
+        best AS (
+            SELECT feature, list_position({BINS}, feature) AS place
+            FROM p_values ORDER BY p, place LIMIT 2),
+        chosen AS (SELECT list(feature ORDER BY place) AS names FROM best)
+        SELECT l_returnflag, list_filter([{_PLACED}], lambda x: x IS NOT NULL) AS kept,
+               array_to_string(c.names, ',') AS names
+        FROM lineitem, chosen c""",
     # With three labels the degrees of freedom are even, which gives the p-value a finite sum.
     "chi_square_test": chi_square_sql(_BIN_SQL)
     + """

@@ -104,25 +104,7 @@ arcs AS MATERIALIZED (
 )
 
 
-def _components(rounds: int) -> str:
-    steps = [
-        """
-links AS MATERIALIZED (
-    SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges
-    UNION SELECT id, id FROM ids),
-c0 AS MATERIALIZED (SELECT id, id AS component FROM ids)"""
-    ]
-    for k in range(rounds):
-        steps.append(
-            f"""
-c{k + 1} AS MATERIALIZED (
-    SELECT l.a AS id, min(c.component) AS component
-    FROM links l JOIN c{k} c ON c.id = l.b GROUP BY l.a)"""
-        )
-    return ",".join(steps)
-
-
-_COMPONENTS = (sql.DAILY_ROUTES, sql.VERTICES, sql.EDGES, _components(24))
+_COMPONENTS = (sql.DAILY_ROUTES, sql.VERTICES, sql.EDGES, sql.components(24))
 
 _TRIANGLES = """
 tri AS MATERIALIZED (

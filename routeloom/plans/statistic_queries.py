@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from routeloom.functions.skew import lookup_join
@@ -133,6 +133,16 @@ def hash_features(spark, folder):
     return hashed.select(*KEY, F.col("features").cast("string").alias("features"))
 
 
+def hash_sums(spark, folder):
+    """What each hashed row adds up to: its numbers, and 1 for each category."""
+    line = _line(spark, folder).withColumn("finished", F.col("l_linestatus") == "F")
+    hashed = features.hash_features(
+        line, ["l_quantity", "finished", "l_returnflag", "l_suppkey"], 1 << 10
+    )
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
+    return hashed.select(*KEY, total.alias("total"))
+
+
 def scale_elements(spark, folder):
     scaled = features.scale_elements("embedding", WEIGHTS)
     return _embeddings(spark, folder).select("vec_id", F.posexplode(scaled).alias("position", "x"))
@@ -176,6 +186,7 @@ QUERIES = {
     "count_vectorize": count_vectorize,
     "count_vectorize_top3": vocabulary_top,
     "feature_hash": hash_features,
+    "feature_hash_sums": hash_sums,
     "elementwise_product": scale_elements,
     "cosine_transform": cosine_transform,
     "vector_mean": lambda s, d: _round(
@@ -324,6 +335,8 @@ SQL = {
             FROM points WINDOW w AS (ORDER BY threshold DESC))
         SELECT round(sum((x - x0) * (y + y0) / 2), 6) AS roc_area,
                round(sum((y - y0) * (pr + pr0) / 2), 6) AS pr_area FROM moves""",
+    "feature_hash_sums": f"""
+        SELECT {_KEYS}, l_quantity + l_suppkey + 2 AS total FROM lineitem""",
     "binarize": f"""
         SELECT {_KEYS}, l_quantity,
                CAST(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS DOUBLE) AS large FROM lineitem""",

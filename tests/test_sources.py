@@ -35,8 +35,11 @@ def test_empty_text_is_kept_as_text(spark, tmp_path):
 
 @pytest.mark.parametrize(
     "bad",
-    [line(delay="late"), line(delay=""), line(n="x"), ",".join(line().split(",")[:16])],
-    ids=["text delay", "no delay", "bad number", "short line"],
+    [
+        line(delay="late"), line(delay=""), line(n="x"), ",".join(line().split(",")[:16]),
+        line() + ",more", "", "  ",
+    ],
+    ids=["text delay", "no delay", "bad number", "short line", "long line", "blank", "blanks"],
 )
 def test_malformed_line_fails(spark, tmp_path, bad):
     path = write(tmp_path, line(), bad)
