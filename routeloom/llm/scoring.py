@@ -2,9 +2,9 @@
 
 Counts of all words and word pairs of all documents are tables.  The vocabulary, words above a
 relative frequency, is bounded and broadcast; so are the counts of pairs of the most frequent
-words, which are the only pairs that can be very frequent.  All other pairs are exploded,
-partitioned by the hash of the pair, counted there and joined to their counts, and the logarithms
-are summed per document.
+words, which are the only pairs that can be very frequent.  All other pairs are exploded and
+partitioned by the hash of the pair; there they are counted, and every occurrence gets its count.
+The logarithms are summed per document.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeloom.llm.storage import blocks, stored, texts_of
@@ -165,9 +165,9 @@ def score_documents(
             yield pa.RecordBatch.from_arrays(columns, names=["_row", "pair", "times", "sum"])
 
     exploded = rows.mapInArrow(explode, "_row long, pair long, times long, sum double")
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    further = exploded.where("pair >= 0").select("_row", "pair", "times").repartition(partitions, "pair")
-    table = further.groupBy("pair").agg(F.sum("times").alias("n"))
+    # each pair's occurrences meet in the partition of its hash, with their count
+    further = exploded.where("pair >= 0").select("_row", "pair", "times")
+    counted = further.withColumn("n", F.sum("times").over(Window.partitionBy("pair")))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary.back(shared.value)
@@ -178,8 +178,7 @@ def score_documents(
             columns = [pa.array(own), pa.array(_sums(at, logs, len(own)))]
             yield pa.RecordBatch.from_arrays(columns, names=["_row", "sum"])
 
-    joined = further.join(table, "pair").select("_row", "pair", "times", "n")
-    more = joined.mapInArrow(score, "_row long, sum double")
+    more = counted.mapInArrow(score, "_row long, sum double")
     base = exploded.where("pair < 0").select("_row", "sum", F.col("times").alias("n"))
     scores = (
         base.unionByName(more.withColumn("n", F.lit(0).cast("long")))
