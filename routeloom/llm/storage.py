@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from routeloom.workspace import new_path
 
 #: Texts are handled in blocks of so many bytes (or one document), which bounds a task's memory.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ LOWER[0x41:0x5B] += 0x20
 _BASE = 0x9E3779B97F4A7C15
 _STEP = 0xD1342543DE82EF95
 #: Bytes hashed at a time.
-_CHUNK = 1 << 21
+_CHUNK = 1 << 19
 
 
 @dataclass
@@ -43,7 +43,7 @@ _known_powers: dict[int, np.ndarray] = {}
 def powers(base: int, size: int) -> np.ndarray:
     """``base ** i`` modulo 2**64 for at least ``size`` exponents."""
     if len(_known_powers.get(base, ())) < size:
-        steps = np.full(1 << max(16, int(size).bit_length()), base, np.uint64)
+        steps = np.full(1 << max(16, int(size - 1).bit_length()), base, np.uint64)
         steps[0] = 1
         _known_powers[base] = np.multiply.accumulate(steps)
     return _known_powers[base]
