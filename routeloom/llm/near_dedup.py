@@ -8,8 +8,9 @@ pairs for which the threshold is out of the question are dropped, all others are
 full sets.
 
 Documents with equal sets are one node from the start.  In a bucket of equal bands, members are
-first compared with one centre only; then, while a bucket still holds several components, with
-another centre; and last, exactly, each with the members of the other components.
+first compared with one centre only.  In a bucket that still holds several components, each member
+is then compared with its nearest one in another component, by the registers; and last with all
+likely ones there.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ REGISTERS, BAND = 128, 4
 BASE, RATE = 1.001, 20.0
 #: Expected times per register that are tried first; registers left empty are tried again.
 _REACH = 10.0
-#: Columns of a bucket's member and their prefixes on the two sides of a pair.
-SIDE = {"node": "", "n": "n_", "label": "l_"}
+#: Members of a bucket per block.
+BLOCK = 1000
 #: A pair is dropped if the threshold is less likely than the best similarity by exp(-16).
 UNLIKELY = 16.0
 
@@ -216,9 +217,6 @@ class _Finder:
         schema = T.StructType([T.StructField(*f) for f in fields])
         return nodes.select("_id", "n", "registers").mapInArrow(run, schema)
 
-    def alike_in_size(self) -> str:
-        return f"100 * least(n_a, n_b) >= {self.percent} * greatest(n_a, n_b)"
-
     def likely(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """Pairs ``a, b`` that the registers do not rule out."""
         threshold = self.percent / 100
@@ -236,7 +234,7 @@ class _Finder:
                     keep = pa.array(may_reach(a, b, n_a, n_b, threshold))
                     yield batch.select(["a", "b"]).filter(keep)
 
-        both = pairs.select("a", "b")
+        both = pairs
         for side in ("a", "b"):
             both = both.join(
                 nodes.select(
@@ -247,7 +245,70 @@ class _Finder:
                 side,
             )
         schema = T.StructType([T.StructField(c, self.id_type) for c in ("a", "b")])
-        return both.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, schema).distinct()
+        both = both.where(f"100 * least(n_a, n_b) >= {self.percent} * greatest(n_a, n_b)")
+        return both.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, schema)
+
+    def across(self, members: DataFrame, nodes: DataFrame, nearest: bool) -> DataFrame:
+        """Likely pairs ``a, b`` of different components in buckets that hold several.
+
+        A bucket is cut into blocks, and each pair of blocks is compared in one task, register by
+        register; only likely pairs leave it, or for each member only the ``nearest`` one.
+        """
+        several = members.groupBy("key").agg(
+            F.min("label").alias("l1"), F.max("label").alias("l2"), F.count("*").alias("c")
+        )
+        several = several.where("l1 <> l2").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks"))
+        rows = members.join(several, "key").withColumn(
+            "block", F.pmod(F.xxhash64("node"), F.col("blocks"))
+        )
+        known = nodes.select(F.col("_id").alias("node"), "n", "registers")
+        units = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "key",
+            F.least("block", "other").alias("p"),
+            F.greatest("block", "other").alias("q"),
+            "block",
+            "node",
+            "label",
+        )
+        units = units.join(known, "node")
+        threshold, percent = self.percent / 100, self.percent
+        id_type = self.id_type
+
+        def compare(unit: pa.Table) -> pa.Table:
+            unit = unit.sort_by("node")
+            raw = b"".join(unit.column("registers").to_pylist())
+            registers = np.frombuffer(raw, np.uint16).reshape(-1, REGISTERS)
+            n, block, p, q = (unit.column(c).to_numpy() for c in ("n", "block", "p", "q"))
+            _, label = np.unique(np.array(unit.column("label").to_pylist()), return_inverse=True)
+            left, right = np.flatnonzero(block == p[0]), np.flatnonzero(block == q[0])
+            found = [np.zeros((2, 0), np.int64)]
+            for at in range(0, len(left), 32):
+                part = left[at : at + 32]
+                same = (registers[part][:, None, :] == registers[right][None, :, :]).sum(axis=2)
+                small = np.minimum(n[part][:, None], n[right][None, :])
+                large = np.maximum(n[part][:, None], n[right][None, :])
+                able = (label[part][:, None] != label[right][None, :]) & (
+                    100 * small >= percent * large
+                )
+                # far below what a pair at the threshold shows
+                able &= same >= REGISTERS * (threshold - 0.3)
+                if nearest:
+                    same = np.where(able, same, -1)
+                    best = same.argmax(axis=1) if same.shape[1] else np.zeros(0, int)
+                    x = np.flatnonzero(able[np.arange(len(part)), best])
+                    y = best[x]
+                else:
+                    x, y = np.nonzero(able)
+                found.append(np.stack([part[x], right[y]]))
+            a, b = np.concatenate(found, axis=1)
+            if len(a):
+                keep = may_reach(registers[a], registers[b], n[a], n[b], threshold)
+                a, b = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
+            node = unit.column("node")
+            return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
+
+        schema = T.StructType([T.StructField(c, id_type) for c in ("a", "b")])
+        return units.groupBy("key", "p", "q").applyInArrow(compare, schema).distinct()
 
     def full_sets(self, ids: DataFrame) -> DataFrame:
         """Sorted shingles of the texts of ``ids``, distinct."""
@@ -319,56 +380,29 @@ def near_duplicates(
     shared = stored(shared.where("c > 1").select("key", "centre"), "buckets")
     crowd = stored(bands.join(shared, "key"), "crowd")  # bucket members, each with its centre
 
-    def star(rows: DataFrame) -> DataFrame:
-        pairs = rows.where("node <> centre").select(
-            F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")
-        )
-        return pairs.distinct()
-
     sets = None
     several = members.groupBy("_id").agg(F.min("node").alias("a"), F.count("*").alias("c"))
     ties = members.join(several.where("c > 1"), "_id").where("node <> a")
     # an id with several texts ties their nodes together
     links = stored(ties.select("a", F.col("node").alias("b")), "links")
-    done = None
-    state = crowd.withColumn("label", F.col("node"))
-    for turn in range(3):
-        if turn == 0:
-            pairs = star(state)
+    labels = None
+    for turn in ("centre", "nearest", "rest"):
+        if turn == "centre":
+            ends = [f("centre", "node") for f in (F.least, F.greatest)]
+            apart = crowd.where("node <> centre").select(ends[0].alias("a"), ends[1].alias("b"))
+            pairs = finder.likely(apart.distinct(), nodes)
         else:
-            open_ = state.groupBy("key").agg(
-                F.min("label").alias("l1"),
-                F.max("label").alias("l2"),
-                F.min(F.xxhash64("node", "key")).alias("pick"),
+            labelled = crowd.join(labels, "node", "left").select(
+                "key", "node", F.coalesce("label", "node").alias("label")
             )
-            open_ = open_.where("l1 <> l2").select("key", "pick")
-            left = stored(state.drop("centre").join(open_, "key"), "open")
-            if turn == 1:
-                centre = left.where(F.xxhash64("node", "key") == F.col("pick")).select(
-                    "key", F.col("node").alias("centre"), F.col("label").alias("centre_label")
-                )
-                pairs = star(left.join(centre, "key").where("label <> centre_label"))
-            else:
-                a, b = (
-                    left.select("key", *[F.col(c).alias(f"{t}{side}") for c, t in SIDE.items()])
-                    for side in ("a", "b")
-                )
-                pairs = a.join(b, "key").where("a < b AND l_a <> l_b").where(finder.alike_in_size())
-                pairs = pairs.select("a", "b").distinct()
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
+            pairs = finder.across(labelled, nodes, turn == "nearest")
         pairs = stored(pairs, "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
         if pairs.limit(1).count():
-            likely = stored(finder.likely(pairs, nodes), "likely")
             if sets is None:
                 wanted = crowd.select(F.col("node").alias("_id")).distinct()
                 sets = stored(finder.full_sets(wanted), "sets")
-            links = links.unionByName(stored(finder.verified(likely, sets), "links"))
+            links = links.unionByName(stored(finder.verified(pairs, sets), "links"))
         labels = components(links)
-        if turn < 2:
-            state = crowd.join(labels, "node", "left").withColumn(
-                "label", F.coalesce("label", "node")
-            )
     placed = members.join(labels, "node", "left").groupBy("_id").agg(
         F.min(F.coalesce("label", "node")).alias("component_id")
     )
