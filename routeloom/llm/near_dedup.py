@@ -278,6 +278,8 @@ class _Finder:
             unit = unit.sort_by("node")
             raw = b"".join(unit.column("registers").to_pylist())
             registers = np.frombuffer(raw, np.uint16).reshape(-1, REGISTERS)
+            bands = band_keys(registers)
+            key = unit.column("key").to_numpy().view(np.uint64)[0]
             n, block, p, q = (unit.column(c).to_numpy() for c in ("n", "block", "p", "q"))
             _, label = np.unique(np.array(unit.column("label").to_pylist()), return_inverse=True)
             left, right = np.flatnonzero(block == p[0]), np.flatnonzero(block == q[0])
@@ -303,6 +305,9 @@ class _Finder:
             a, b = np.concatenate(found, axis=1)
             if len(a):
                 keep = may_reach(registers[a], registers[b], n[a], n[b], threshold)
+                if not nearest:  # a pair leaves the bucket of its first common band only
+                    common = bands[a] == bands[b]
+                    keep &= bands[a, common.argmax(axis=1)] == key
                 a, b = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
             node = unit.column("node")
             return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
