@@ -218,6 +218,33 @@ def test_language_scores(docs, rows, odd, rare):
         assert sum(map(len, got.values())) == len(source)
 
 
+def test_language_scores_keep_rare_words(spark):
+    """In more than a million words, those seen once or twice still differ."""
+    common = "of the " * 1_100_000  # two occurrences are less than a millionth
+    texts = [common, "of alpha beta the", "alpha beta of", "gamma delta", "of epsilon", "zeta the zeta the"]
+    texts += ["eta of theta", "of theta eta", "iota kappa iota kappa", "lambda"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in language_scores(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(expected_scores(texts, 0))
+
+
+@pytest.mark.parametrize("share", [2e-4, 2e-3, 0.5])
+def test_language_scores_join_words(monkeypatch, odd, share):
+    """Scores do not depend on which words are broadcast."""
+    monkeypatch.setattr("routeloom.llm.scoring.SHARED", share)
+    source = odd.collect()
+    want = defaultdict(list)
+    for r, score in zip(source, expected_scores([r["text"] for r in source], 0), strict=True):
+        want[r["doc_id"]].append(score)
+    got = defaultdict(list)
+    for r in language_scores(odd).collect():
+        got[r["doc_id"]].append(r["score"])
+    ordered = lambda x: sorted(x, key=lambda s: (s is None, s))
+    assert set(got) == set(want)
+    for i in want:
+        assert ordered(got[i]) == pytest.approx(ordered(want[i]))
+
+
 def test_language_score_edges(empty, docs):
     assert language_scores(empty).count() == 0
     with pytest.raises(ValueError, match="rare"):
