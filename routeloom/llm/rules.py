@@ -30,9 +30,12 @@ COMMON_WORDS = sorted(
     )
 )
 
-#: Limits of the distances (0 to 1), and the least lengths at which they are judged.
-CLASS_LIMIT, WORD_LIMIT = 0.25, 0.45
+#: Limits of the class distance (0 to 1) and of the word distance, as a share of that of a text
+#: without common words; the least lengths at which they are judged.
+CLASS_LIMIT, WORD_SHARE = 0.25, 0.85
 LEAST_CHARS, LEAST_WORDS = 200, 50
+#: Common words that a text of its length has to have in its language for words to be judged.
+LEAST_COMMON = 10
 #: Base rules: fewest words; the greatest share, in percent, of words in repeated windows.
 FEWEST_WORDS, MOST_REPEATED = 50, 50
 #: Languages up to which their histograms are broadcast.
@@ -146,14 +149,16 @@ def quality_rules(
     text_col: str = "text",
     lang_col: str = "lang",
     class_limit: float = CLASS_LIMIT,
-    word_limit: float = WORD_LIMIT,
+    word_share: float = WORD_SHARE,
 ) -> DataFrame:
     """Base counts, distances from the language, and the verdict, one row for each input row.
 
     Columns: the id, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words``, ``class_distance``, ``word_distance``, ``base_failed`` and ``kept``.
     Rows without a language are compared with each other.  A text too short for a distance has
-    null there and is not judged by it.  A null text has no words and fails the base rules.
+    null there and is not judged by it.  The word distance is judged against the one that a text
+    without common words has in that language, where a text of that length would have at least ten
+    common words; other languages than those of the fixed list have too few.  A null text has no words and fails the base rules.
     Other columns are left out; repeated rows stay; an empty table gives an empty result.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -209,6 +214,8 @@ def quality_rules(
         + _term(1 - p_common, 1 - F.col("all_common"))  # all other words
     )
     distance = lambda d: F.sqrt(F.least(F.lit(1.0), F.greatest(F.lit(0.0), d)))
+    all_common = F.col("all_common")
+    bare = all_common / 2 + _term(F.lit(1.0), 1 - all_common)  # of a text without common words
     failed = (F.col("n_words") < FEWEST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
@@ -218,8 +225,9 @@ def quality_rules(
         F.when(F.col("total") >= LEAST_CHARS, distance(class_divergence)).alias("class_distance"),
         F.when(F.col("n_words") >= LEAST_WORDS, distance(word_divergence)).alias("word_distance"),
         failed.alias("base_failed"),
+        F.when(F.col("n_words") * all_common >= LEAST_COMMON, distance(bare)).alias("bare"),
     )
     far = F.coalesce(F.col("class_distance") > class_limit, F.lit(False)) | F.coalesce(
-        F.col("word_distance") > word_limit, F.lit(False)
+        F.col("word_distance") > word_share * F.col("bare"), F.lit(False)
     )
-    return rows.withColumn("kept", ~F.col("base_failed") & ~far)
+    return rows.withColumn("kept", ~F.col("base_failed") & ~far).drop("bare")

@@ -1,6 +1,7 @@
 """Quality rules, classifier, decontamination, language scores and licences."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -83,6 +84,22 @@ def test_distances(spark):
             assert want is None or abs(got[i][name] - want) < 1e-9
 
 
+def test_text_without_common_words(spark):
+    """Rejected where its language has common words, kept where hardly any text has them."""
+    rng = random.Random(0)
+
+    def text(share):
+        other = lambda: "".join(rng.choice("bkvz") + rng.choice("aeiou") for _ in range(3))
+        return " ".join(rng.choice(["the", "of", "and", "is"]) if rng.random() < share else other() for _ in range(120))
+
+    rows = [(i, text(0.22), "en") for i in range(40)] + [(40, text(0), "en")]
+    rows += [(50 + i, text(0), "xx") for i in range(5)] + [(60 + i, text(0.01), "yy") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = rules.quality_rules(docs).collect()
+    assert not any(r["base_failed"] for r in got) and all(r["class_distance"] < 0.25 for r in got)
+    assert [r["doc_id"] for r in got if not r["kept"]] == [40]
+
+
 def test_classifier_learns(spark):
     rng = np.random.default_rng(0)
     words = [f"w{i}" for i in range(300)]
