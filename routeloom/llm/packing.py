@@ -81,21 +81,26 @@ class Packer:
         self.total += len(piece[2]) // 4
 
     def fill(self, leave: int) -> Iterator[tuple]:
-        """Fill windows while more than ``leave`` tokens are held and full windows are found."""
+        """Fill windows while more than ``leave`` tokens are held; if none fits, a cut piece closes."""
         while self.total > leave and self.total >= self.capacity:
             counts = {x: len(p) for x, p in self.pool.items() if p}
             taken = best_fill(counts, self.capacity)
             filled = sum(x * n for x, n in taken.items())
-            if filled < self.capacity:
-                return
-            for _ in range(min(counts[x] // n for x, n in taken.items())):
+            gap = self.capacity - filled  # all other pieces are longer, else one were taken
+            for _ in range(1 if gap else min(counts[x] // n for x, n in taken.items())):
                 at = 0
                 for length, n in taken.items():
                     for _ in range(n):
                         yield self.pool[length].pop(), self.sequence, at
                         at += length
-                self.sequence += 1
                 self.total -= filled
+                if gap:
+                    length = max(x for x, p in self.pool.items() if p)
+                    ref, start, ids = self.pool[length].pop()
+                    self.total -= length
+                    yield (ref, start, ids[: 4 * gap]), self.sequence, at
+                    self.add((ref, start + gap, ids[4 * gap :]))
+                self.sequence += 1
                 if self.total <= leave:
                     break
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from routeloom.llm.packing import WordTokens, best_fill, pack_documents
+from routeloom.llm.packing import Packer, WordTokens, best_fill, pack_documents
 from routeloom.llm.sharding import shard_documents, write_shards
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -77,6 +77,25 @@ def test_best_fill_is_best():
         assert sum(x * n for x, n in taken.items()) == max(s for s in sums if s <= 64)
 
 
+def test_pool_shrinks_when_nothing_fits():
+    """Pieces that cannot sum to a window are cut to close it, and all tokens are placed once."""
+    packer, placed = Packer(2048, 0), []
+    for i in range(50):
+        packer.add((i, 0, bytes(4 * 1500)))
+        if packer.total > 8192:
+            placed += packer.fill(4096)
+            assert packer.total <= 4096
+    assert packer.total == sum(x * len(p) for x, p in packer.pool.items())
+    placed += packer.finish()
+    places, tokens = [], []
+    for (i, start, ids), sequence, at in placed:
+        places += [(sequence, at + k) for k in range(len(ids) // 4)]
+        tokens += [(i, start + k) for k in range(len(ids) // 4)]
+    assert sorted(tokens) == [(i, k) for i in range(50) for k in range(1500)]
+    assert len(set(places)) == len(places)
+    assert [sum(q == s for q, _ in places) for s in range(36)] == [2048] * 36
+
+
 def test_packing_edges(odd, empty, spark):
     assert pack_documents(empty, PATH).count() == 0
     assert pack_documents(odd, PATH).where("start = 0").count() == odd.count()
