@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routeloom.llm.classifier import fit_documents, held_out, score_documents
+from routeloom.llm.conversations import damaged, find_repairs, repaired_digests
 from routeloom.llm.decontaminate import mark_contaminated
+from routeloom.llm.filter_audit import audit_filters
 from routeloom.llm.licenses import scan_licenses
 from routeloom.llm.line_dedup import drop_repeated_lines
 from routeloom.llm.near_dedup import near_duplicates
@@ -20,10 +22,12 @@ from routeloom.llm.rules import quality_rules
 from routeloom.llm.scoring import score_documents as language_scores
 from routeloom.llm.sharding import shard_documents
 from routeloom.llm.substrings import remove_repeats
+from routeloom.llm.token_counts import count_tokens
 
 #: Documents with a lower probability of label 1 are rejected.
 REJECT_BELOW = 0.7
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,6 +115,20 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = count_tokens(documents(spark, folder).select("doc_id", "text"), PIECES)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_filters(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = damaged(spark.read.parquet(f"{folder}/conversations.parquet"))
+    return repaired_digests(turns, find_repairs(turns)).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_packing": op2_packing,
@@ -122,6 +140,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
+    "op11_token_counts": op11_token_counts,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL = {
@@ -228,5 +249,49 @@ WITH doc_words AS (
 )
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, round(score, 6) AS score
 FROM doc_words d LEFT JOIN means USING (doc_id)
+""",
+    "op12_filter_audit": r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good,
+         coalesce(bool_or(toxic = 1), false) AS bad FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad, [
+      len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+      100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+      coalesce(docs.doc_id > min(docs.doc_id) OVER (PARTITION BY t), false)] AS fails
+  FROM docs LEFT JOIN marks USING (doc_id)
+), masks AS (
+  SELECT part, good, bad, fails, count(*) AS n FROM failing GROUP BY ALL
+), letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS i
+), orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), steps AS (
+  SELECT o, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order,
+         unnest([1, 2, 3, 4, 5]) AS step FROM orders
+), outcomes AS (
+  SELECT part, filter_order, step, o[step] AS filter, n, good, bad, fails[o[step]] AS here,
+         list_contains(list_transform(o[1 : step - 1], lambda x: fails[x]), true) AS gone,
+         len(list_filter(fails, lambda x: x)) = 1 AS once
+  FROM masks, steps
+), counted AS (
+  SELECT part, filter_order, step, filter,
+         coalesce(sum(n) FILTER (WHERE NOT here AND NOT gone), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE here AND NOT gone), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE here AND gone), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE here AND once), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (WHERE here AND NOT gone AND good), 0) AS good_lost,
+         coalesce(sum(n) FILTER (WHERE here AND NOT gone AND bad), 0) AS toxic_lost
+  FROM outcomes GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM counted
 """,
 }
