@@ -11,6 +11,7 @@ from routeloom.sources.tables import table
 POINT = [round(0.1 * (-1) ** k / (1 + k % 5), 3) for k in range(64)]
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 NEAR = 1.1
+CLOSE = 0.35
 
 
 def _embeddings(spark, folder):
@@ -21,13 +22,38 @@ def _line(spark, folder):
     return table(spark, folder, "lineitem")
 
 
-def lsh_join(spark, folder):
-    pairs = similarity.similar_pairs(
-        _embeddings(spark, folder), "vec_id", "embedding", NEAR, bucket_length=0.5, tables=3
+def _with_coarse_copies(spark, folder):
+    """Every embedding, and the same in steps of an eighth."""
+    rows = _embeddings(spark, folder)
+    vector = F.col("embedding").cast("array<double>")
+    coarse = F.transform(vector, lambda x: F.floor(x * 8 + 0.5) / 8)
+    return rows.select((F.col("vec_id") * 2).alias("id"), vector.alias("vector")).unionByName(
+        rows.select((F.col("vec_id") * 2 + 1).alias("id"), coarse.alias("vector"))
     )
+
+
+def _rounded(pairs):
     return pairs.withColumn("distance", F.round("distance", 6))
 
 
+def lsh_join(spark, folder):
+    """Pairs of embeddings and coarse copies; one at the threshold is missed once in 1,000 times."""
+    rows = _with_coarse_copies(spark, folder)
+    return _rounded(similarity.similar_pairs(rows, "id", "vector", CLOSE, recall=0.999))
+
+
+def near_pairs_exact(spark, folder):
+    rows = _embeddings(spark, folder)
+    return _rounded(similarity.similar_pairs(rows, "vec_id", "embedding", NEAR, recall=None))
+
+
+def vector_members(spark, folder):
+    """Who stands for whom among the signs of the first six elements."""
+    signs = F.transform(F.slice("embedding", 1, 6), lambda x: F.signum(x.cast("double")))
+    rows = _embeddings(spark, folder).select("vec_id", signs.alias("signs"))
+    return similarity.vector_members(rows, "vec_id", "signs")
+
+
 def nearest(spark, folder):
     found = similarity.nearest(_embeddings(spark, folder), "vec_id", "embedding", POINT, 10)
     return found.withColumn("distance", F.round("distance", 6))
@@ -155,6 +181,8 @@ def chi_square_test(spark, folder):
 
 QUERIES = {
     "lsh_join": lsh_join,
+    "near_pairs_exact": near_pairs_exact,
+    "vector_members": vector_members,
     "nearest_vectors": nearest,
     "kmeans": lambda s, d: models.kmeans(_embeddings(s, d), "embedding", 10),
     "kmeans_random_start": lambda s, d: models.kmeans(
@@ -197,7 +225,33 @@ _PLACED = ", ".join(
     for name, text in _BIN_SQL.items()
 )
 
+
+def _near_pairs_sql(rows: str, threshold: float) -> str:
+    return f"""
+        WITH rows AS ({rows}),
+        vectors AS (SELECT v, min(id) AS id, count(*) AS copies FROM rows GROUP BY v)
+        SELECT a.id AS id_a, b.id AS id_b, round(list_distance(a.v, b.v), 6) AS distance,
+               a.copies AS copies_a, b.copies AS copies_b
+        FROM vectors a JOIN vectors b ON a.id < b.id AND list_distance(a.v, b.v) < {threshold}"""
+
+
 SQL = {
+    "lsh_join": _near_pairs_sql(
+        """
+            SELECT vec_id * 2 AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            UNION ALL
+            SELECT vec_id * 2 + 1, list_transform(CAST(embedding AS DOUBLE[]),
+                                                  lambda x: floor(x * 8 + 0.5) / 8)
+            FROM embeddings""",
+        CLOSE,
+    ),
+    "near_pairs_exact": _near_pairs_sql(
+        "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings", NEAR
+    ),
+    "vector_members": """
+        SELECT vec_id AS id, min(vec_id) OVER (PARTITION BY list_transform(
+                   embedding[1:6], lambda x: sign(CAST(x AS DOUBLE)))) AS representative
+        FROM embeddings""",
     "chi_square_select": chi_square_sql(_BIN_SQL)
     + f""", {_P_VALUES},
         best AS (

@@ -33,37 +33,90 @@ def points(n, size, seed=1):
     return [(i, [r.uniform(0, 1) for _ in range(size)]) for i in range(n)]
 
 
-@pytest.mark.parametrize("length", [0.5, 100.0])
-def test_similar_pairs_by_brute_force(spark, monkeypatch, length):
+def near(rows, threshold):
+    pairs = itertools.combinations(rows, 2)
+    return {(a, b): math.dist(x, y) for (a, x), (b, y) in pairs if math.dist(x, y) < threshold}
+
+
+@pytest.mark.parametrize("threshold", [0.05, 0.3, 5.0])
+def test_exact_pairs_by_brute_force(spark, monkeypatch, threshold):
     monkeypatch.setattr(similarity, "BLOCK", 7)
     rows = points(120, 3)
-    rows += [(1000 + i, rows[5][1]) for i in range(40)]
-    df = spark.createDataFrame(rows, "id bigint, v array<double>")
-    found = similarity.similar_pairs(df, "id", "v", 0.3, bucket_length=length, tables=2)
-    got = {(r.id_a, r.id_b): r.distance for r in found.collect()}
-    hashed = similarity._bucketed(similarity.distinct_vectors(df, "id", "v"), length, 2, 42)
-    buckets = {r.id: r.buckets for r in hashed.collect()}
-    want = {}
-    for (a, x), (b, y) in itertools.combinations(rows[:120], 2):
-        meet = any(i == j for i, j in zip(buckets[a], buckets[b]))
-        if meet and math.dist(x, y) < 0.3:
-            want[a, b] = math.dist(x, y)
-    assert got == pytest.approx(want)
-    assert found.count() == len(want), "a pair came out twice"
-    copies = {r.id_a: r.copies_a for r in found.collect()}
-    assert all(copies[i] == (41 if i == 5 else 1) for i in copies)
-
-
-def test_lsh_pairs_are_near_and_mostly_found(spark):
-    rows = points(150, 4, 2)
+    copies = [(1000 + i, rows[5][1]) for i in range(40)]
+    odd = [(2000, None), (2001, [None, 1.0, 2.0]), (2002, [float("nan"), 1.0, 2.0])]
+    df = spark.createDataFrame(rows + copies + odd, "id bigint, v array<double>")
+    found = similarity.similar_pairs(df, "id", "v", threshold, recall=None).collect()
+    got = {(r.id_a, r.id_b): r.distance for r in found}
+    assert got == pytest.approx(near(rows, threshold))
+    assert len(found) == len(got), "a pair came out twice"
+    counts = {r.id_a: r.copies_a for r in found} | {r.id_b: r.copies_b for r in found}
+    assert all(counts[i] == (41 if i == 5 else 1) for i in counts)
+
+
+def test_neighbouring_cells_hold_every_near_pair():
+    """A grid with more axes than its plan would take misses nothing."""
+    import numpy as np
+
+    x = np.array([v for _, v in points(150, 4, 7)])
+    axes = np.linalg.qr(np.random.default_rng(3).standard_normal((4, 4)))[0]
+    for count in range(5):
+        cells = {}
+        for rows, keys, home in similarity.Grid(axes[:, :count], 0.2).places(x):
+            for r, k, h in zip(rows.tolist(), keys.tolist(), home.tolist(), strict=True):
+                cells.setdefault(k, []).append((r, h))
+        met = [
+            (min(a, b), max(a, b))
+            for members in cells.values()
+            for (a, g), (b, h) in itertools.combinations(members, 2)
+            if g or h
+        ]
+        want = set(near(list(enumerate(x.tolist())), 0.2))
+        assert want <= set(met) and len(met) == len(set(met))
+
+
+def test_hashed_pairs_keep_their_recall(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK", 5)
+    rows = points(300, 12, 2)
+    shift = random.Random(4)
+    moved = [(1000 + i, [x + shift.gauss(0, 0.05) for x in v]) for i, v in rows]
+    df = spark.createDataFrame(rows + moved, "id bigint, v array<double>")
+    want = near(rows + moved, 0.25)
+    search = similarity.NearPairs(df, "id", "v", 0.25, recall=0.95)
+    found = search.pairs().collect()
+    got = {(r.id_a, r.id_b): r.distance for r in found}
+    assert len(found) == len(got) and all(want[pair] == pytest.approx(d) for pair, d in got.items())
+    assert len(got) >= 0.9 * len(want) > 200
+    cost = search.candidates().first()
+    assert cost.vectors == 600 and cost.candidates < 0.2 * 600 * 599 / 2
+
+
+def test_plans_follow_the_number_of_vectors():
+    """Longer keys instead of more comparisons."""
+    import numpy as np
+
+    apart = np.random.default_rng(1).normal(1.4, 0.09, 2000)
+    plans = [similarity.plan_hashing(apart, n, 0.35, 0.95, 1)[0] for n in (10**3, 10**5, 10**7)]
+    for n, plan in zip((10**3, 10**5, 10**7), plans, strict=True):
+        chance = (similarity._agreement(plan.length / apart) ** plan.projections).mean()
+        assert n * plan.tables * (1 + 2 * plan.probes) * chance / 2 <= similarity.COMPARED
+    assert plans[0].projections <= plans[1].projections <= plans[2].projections
+
+
+@pytest.mark.parametrize("recall", [None, 0.9])
+def test_tables_without_pairs(spark, recall):
+    for rows in ([], [(1, [0.5, 0.5])], [(1, [0.5, 0.5])] * 5, [(1, None), (2, None)]):
+        df = spark.createDataFrame(rows, "id bigint, v array<double>")
+        assert similarity.similar_pairs(df, "id", "v", 0.5, recall).collect() == []
+    df = spark.createDataFrame([(1, [0.5]), (2, [0.5, 0.1])], "id bigint, v array<double>")
+    with pytest.raises(ValueError, match="one length"):
+        similarity.similar_pairs(df, "id", "v", 0.5, recall)
+
+
+def test_vector_members(spark):
+    rows = [(5, [1.0, 0.0]), (3, [1.0, -0.0]), (9, [1.0]), (7, None), (8, [1.0]), (2, [None])]
     df = spark.createDataFrame(rows, "id bigint, v array<double>")
-    found = similarity.similar_pairs(df, "id", "v", 0.25, bucket_length=0.5, tables=4).collect()
-    near = {
-        (a, b) for (a, x), (b, y) in itertools.combinations(rows, 2) if math.dist(x, y) < 0.25
-    }
-    got = {(r.id_a, r.id_b) for r in found}
-    assert len(got) == len(found) and got <= near
-    assert len(got) >= 0.8 * len(near)
+    got = {tuple(r) for r in similarity.vector_members(df, "id", "v").collect()}
+    assert got == {(5, 3), (3, 3), (9, 8), (8, 8), (7, 7), (2, 2)}
 
 
 def test_nearest(spark):
