@@ -27,6 +27,8 @@ from routeloom.workspace import freeze, freeze_counting
 BLOCK = 2_000
 #: Vectors that a plan is made from.
 SAMPLE = 2_000
+#: Members of a cell that are compared together with those of other cells.
+FEW = 32
 #: Vectors placed at a time in a task.
 ROWS = 4_096
 #: Comparisons with vectors that are not near, for each vector, that a plan allows.
@@ -168,7 +170,7 @@ def plan_hashing(
     comparisons.
     """
     found: list[tuple[bool, float, float, Hashing]] = []
-    for ratio in (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0):
+    for ratio in (2.0, 3.0, 4.0, 6.0, 8.0, 12.0):
         apart = _agreement(ratio * threshold / np.maximum(distances, 1e-12))
         for projections in range(1, MAX_PROJECTIONS + 1):
             chance = float((apart**projections).mean())
@@ -252,7 +254,7 @@ class NearPairs:
         if recall is None:
             return plan_grid(sample, self.n, self.threshold)
         rng = np.random.default_rng(seed)
-        a, b = rng.integers(0, len(sample), (2, 4 * SAMPLE))
+        a, b = rng.integers(0, len(sample), (2, SAMPLE))
         apart = np.sqrt(((sample[a] - sample[b]) ** 2).sum(axis=1))
         apart = apart[apart >= self.threshold]
         apart = apart if len(apart) else np.array([2 * self.threshold])
@@ -322,7 +324,7 @@ class NearPairs:
             "cell",
             F.least("block", "other").alias("p"),
             F.greatest("block", "other").alias("q"),
-            "block",
+            F.col("block").cast("bigint").alias("block"),
             "home",
             "id",
         )
@@ -339,10 +341,24 @@ class NearPairs:
             ]
         )
 
-        def near(unit: pd.DataFrame) -> pd.DataFrame:
-            return _near(unit, threshold)
-
-        found = filled.groupBy("cell", "p", "q").applyInPandas(near, schema)
+        def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held = None  # the last unit of a batch may go on in the next one
+            for batch in batches:
+                rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+                unit = rows[["cell", "p", "q"]].to_numpy()
+                last = np.flatnonzero((unit != unit[-1]).any(axis=1))
+                cut = int(last[-1]) + 1 if len(last) else 0
+                if cut:
+                    yield from _compared(rows.iloc[:cut], threshold)
+                held = rows.iloc[cut:]
+            if held is not None and len(held):
+                yield from _compared(held, threshold)
+
+        found = (
+            filled.repartition("cell", "p", "q")
+            .sortWithinPartitions("cell", "p", "q", "id")
+            .mapInPandas(compare, schema)
+        )
         return found if self.exact else found.dropDuplicates(["id_a", "id_b"])
 
 
@@ -369,32 +385,29 @@ def similar_pairs(
     return NearPairs(df, key, column, threshold, recall, seed).pairs()
 
 
-def _near(unit: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Pairs below the threshold between two blocks, or within one; visitors do not meet."""
-    unit = unit.sort_values("id")
-    low, high = unit["p"].iloc[0], unit["q"].iloc[0]
-    ids = unit["id"].to_numpy()
-    home = unit["home"].to_numpy()
-    points = np.stack(unit["vector"].to_numpy())
-    first = np.flatnonzero(unit["block"].to_numpy() == low)
-    second = np.flatnonzero(unit["block"].to_numpy() == high)
-    lengths = (points * points).sum(axis=1)
-    products = points[first] @ points[second].T
-    rough = lengths[first][:, None] + lengths[second][None, :] - 2 * products
-    # The product form loses some digits, so it only sorts out what is clearly too far.
-    slack = 1e-9 * (1 + lengths.max())
-    meet = home[first][:, None] | home[second][None, :]
-    x, y = np.nonzero((rough < threshold * threshold + slack) & meet)
-    a, b = first[x], second[y]
-    # Rows are in id order, so the smaller position has the smaller id.
-    a, b = np.minimum(a, b), np.maximum(a, b)
-    keep = a < b if low != high else (first[x] < second[y])
-    keep &= ids[a] != ids[b]
-    a, b = a[keep], b[keep]
-    distance = np.sqrt(((points[a] - points[b]) ** 2).sum(axis=1))
-    a, b, distance = (v[distance < threshold] for v in (a, b, distance))
-    copies = unit["copies"].to_numpy()
-    return pd.DataFrame(
+def _compared(rows: pd.DataFrame, threshold: float) -> Iterator[pd.DataFrame]:
+    """Pairs below the threshold in all units of ``rows``, which are sorted by unit and id."""
+    unit = rows[["cell", "p", "q"]].to_numpy()
+    starts = np.flatnonzero(np.r_[True, (unit[1:] != unit[:-1]).any(axis=1)])
+    sizes = np.diff(np.r_[starts, len(rows)])
+    number = np.repeat(np.arange(len(starts)), sizes)
+    points = np.stack(rows["vector"].to_numpy())
+    home, block = rows["home"].to_numpy(), rows["block"].to_numpy()
+    across = unit[:, 1] != unit[:, 2]
+    few = np.repeat(sizes <= FEW, sizes)
+    found = []
+    for apart in range(1, min(FEW, int(sizes.max()))):  # small units all at once
+        a = np.flatnonzero(few[:-apart] & (number[:-apart] == number[apart:]))
+        if len(a):
+            found.append(_close(points, a, a + apart, home, block, across, threshold))
+    for start, size in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
+        a, b = _roughly_near(points[start : start + size], threshold)
+        found.append(_close(points, a + start, b + start, home, block, across, threshold))
+    if not found:
+        return
+    a, b, distance = map(np.concatenate, zip(*found, strict=True))
+    ids, copies = rows["id"].to_numpy(), rows["copies"].to_numpy()
+    yield pd.DataFrame(
         {
             "id_a": ids[a],
             "id_b": ids[b],
@@ -405,6 +418,38 @@ def _near(unit: pd.DataFrame, threshold: float) -> pd.DataFrame:
     )
 
 
+def _roughly_near(points: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs that may be near, by products of the matrix."""
+    lengths = (points * points).sum(axis=1)
+    rough = lengths[:, None] + lengths[None, :] - 2 * (points @ points.T)
+    # The product form loses some digits, so it only sorts out what is clearly too far.
+    slack = 1e-9 * (1 + lengths.max())
+    return np.nonzero(np.triu(rough < threshold * threshold + slack, 1))
+
+
+def _close(
+    points: np.ndarray,
+    a: np.ndarray,
+    b: np.ndarray,
+    home: np.ndarray,
+    block: np.ndarray,
+    across: np.ndarray,
+    threshold: float,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those pairs that are near; visitors do not meet, nor members of a block in others' unit."""
+    meet = (home[a] | home[b]) & ~(across[a] & (block[a] == block[b]))
+    a, b = a[meet], b[meet]
+    distance = np.concatenate(
+        [
+            np.sqrt(((points[a[i : i + ROWS]] - points[b[i : i + ROWS]]) ** 2).sum(axis=1))
+            for i in range(0, len(a), ROWS)
+        ]
+        or [np.zeros(0)]
+    )
+    near = distance < threshold
+    return a[near], b[near], distance[near]
+
+
 def nearest(df: DataFrame, key: str, column: str, point: list[float], k: int) -> DataFrame:
     """The ``k`` vectors nearest to ``point``, the smaller key first on a tie."""
     to = F.array(*[F.lit(float(x)) for x in point])
