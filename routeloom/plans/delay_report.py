@@ -16,9 +16,10 @@ from routeloom.operators.analysis import (
     tree_weight,
 )
 from routeloom.operators.trees import (
+    ShortestPaths,
     as_edges,
     minimum_spanning_forest,
-    shortest_path_tree,
+    relieved_forest,
 )
 from routeloom.sources.flights import check_factor
 from routeloom.workspace import freeze
@@ -69,23 +70,31 @@ def delay_report(
 
     ``mode`` chooses the tree: ``mst`` for a minimum spanning forest, ``spt``
     for the shortest-path tree from ``source``.  Where every edge is in the
-    tree there is no bottleneck, and the graph stays as it is.
+    tree there is no bottleneck, and the graph stays as it is.  The tree after
+    the relief is made from the one before it and the relieved edges.
     """
     check_factor(factor)
     if mode not in ("mst", "spt"):
         raise ValueError(f"mode must be 'mst' or 'spt', got {mode!r}")
 
-    def tree_of(graph: DataFrame) -> DataFrame:
-        if mode == "mst":
-            return minimum_spanning_forest(graph)
-        return shortest_path_tree(graph, source)
-
     edges = freeze(edges, "edges")
-    before = tree_of(edges)
+    if mode == "mst":
+        before = minimum_spanning_forest(edges)
+    else:
+        paths = ShortestPaths(edges, source)
+        before = paths.tree()
     complement = tree_complement(edges, before)
     strength = complement_strength(complement)
     worst = freeze(bottleneck(strength), "worst")
-    scaled = freeze(scale_vertex(edges, worst, factor), "scaled")
-    after = tree_of(scaled)
+    scaled = scale_vertex(edges, worst, factor)
+    relieved = worst.first()
+    if relieved is None:
+        after = before
+    elif mode == "mst":
+        after = relieved_forest(before, edges, relieved["vertex"], factor)
+    else:
+        after = paths.relieved(relieved["vertex"], factor)
+    if mode == "spt":
+        paths.close()
     diff = tree_diff(before, after)
     return DelayReport(edges, before, complement, strength, worst, scaled, after, diff)

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from routeloom.workspace import new_path
+from routeloom.workspace import new_path, remove, shared_folder
 
 #: Writer options of each format.
 WRITE_OPTIONS = {
@@ -75,13 +75,18 @@ def bucketed(
     writer = df.write.bucketBy(buckets, *by).sortBy(*sort_by)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.option("path", new_path(df.sparkSession, "bucketed")).saveAsTable(name)
+    writer.option("path", _table_path(df.sparkSession, name)).saveAsTable(name)
     return name
 
 
+def _table_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/routeloom/{name}"
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
-    """Take a table out of the catalog; its files stay where they are."""
+    """Take a table that :func:`bucketed` wrote out of the catalog and delete its files."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    remove(spark, _table_path(spark, name))
 
 
 def merged(parts: dict[str, DataFrame], key: str = "part") -> DataFrame:

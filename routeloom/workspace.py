@@ -8,9 +8,12 @@ planner can choose a broadcast join only where the table is really small.
 
 from __future__ import annotations
 
+import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,9 +37,48 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Paths made since the innermost :func:`releasing` function was entered.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/routeloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/routeloom/{name}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+def releasing(name: str) -> Callable:
+    """Store what the decorated function returns, and delete every table stored on the way to it.
+
+    They are deleted if the function fails, too.  Only the result stays in the shared folder.
+    """
+
+    def decorate(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(function)
+        def run(*args: object, **named: object) -> DataFrame:
+            paths: list[str] = []
+            token = _made.set(paths)
+            try:
+                result = function(*args, **named)
+                if getattr(result, "stored_at", None) not in paths:
+                    result = freeze(result, name)
+                paths.remove(result.stored_at)
+            finally:
+                _made.reset(token)
+                spark = SparkSession.getActiveSession()
+                for path in paths:
+                    remove(spark, path)
+            outer = _made.get()
+            if outer is not None:
+                outer.append(result.stored_at)
+            return result
+
+        return run
+
+    return decorate
 
 
 def freeze(df: DataFrame, name: str = "table") -> DataFrame:
@@ -54,10 +96,15 @@ def freeze_counting(df: DataFrame, name: str, where: str | None = None) -> tuple
     return frozen, (frozen if where is None else frozen.where(where)).count()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of the shared folder, if it is there."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that :func:`freeze` wrote and nothing reads any more."""
     path = getattr(df, "stored_at", None)
     if path:
-        context = df.sparkSession.sparkContext
-        place = context._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        remove(df.sparkSession, path)

@@ -4,13 +4,14 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from oracles import components, distances, ranks, spanning_forest, triangles
 from routeloom.operators import arcs as arc_module
 from routeloom.operators import contraction, graph, trees
 from routeloom.operators.analysis import bottleneck, complement_strength, tree_complement
 from routeloom.operators.trees import as_edges, minimum_spanning_forest, shortest_path_tree
-from routeloom.workspace import discard
+from routeloom.workspace import shared_folder
 
 
 @pytest.fixture(params=["few", "many"])
@@ -168,41 +169,136 @@ def test_long_path(spark):
 
 
 def test_path_writes_few_rows(spark, monkeypatch):
-    """On a path of n vertices a round improves one; all rounds write O(n log n) rows."""
+    """On a path of n vertices a hop improves one; all rounds write O(n log n) rows."""
     n, written = 32, []
-    plain = trees.freeze_counting
+    plain = trees._Reached.add
 
-    def counting(df, *args):
-        frozen, rows = plain(df, *args)
-        written.append(rows)
-        return frozen, rows
+    def counting(self, rows):
+        stored, count = plain(self, rows)
+        written.append(count)
+        return stored, count
 
-    monkeypatch.setattr(trees, "freeze_counting", counting)
+    monkeypatch.setattr(trees._Reached, "add", counting)
     edges = edge_df(spark, {(v, v + 1): 1.0 for v in range(n)})
     tree = trees.shortest_path_tree(edges, 0)
     assert {r.vertex: r.dist for r in tree.collect()} == {v: float(v) for v in range(1, n + 1)}
     assert sum(written) <= 2 * n * n.bit_length()
 
 
-def test_merged_rounds_are_deleted(spark, monkeypatch):
-    gone = []
-    monkeypatch.setattr(trees, "discard", lambda df: (gone.append(df.stored_at), discard(df)))
+def stored_names(spark):
+    folder = f"{shared_folder(spark)}/routeloom".removeprefix("file:")
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_only_results_stay_stored(spark, monkeypatch):
+    """Rounds, levels, arcs and edges are deleted, also where the work fails."""
     monkeypatch.setattr(trees, "LEVELS", 3)
-    trees.shortest_path_tree(edge_df(spark, {(v, v + 1): 1.0 for v in range(6)}), 0).collect()
-    assert gone and not any(os.path.exists(path) for path in gone)
+    monkeypatch.setattr(trees, "HOPS", 1)
+    edges = edge_df(spark, {(v, v + 1): 1.0 for v in range(6)})
+    before = stored_names(spark)
+    tree = trees.shortest_path_tree(edges, 0)
+    assert tree.count() == 6
+    assert {name.split("-")[0] for name in stored_names(spark) - before} == {"tree"}
+    before = stored_names(spark)
+    assert minimum_spanning_forest(edges).count() == 6
+    assert {name.split("-")[0] for name in stored_names(spark) - before} == {"forest"}
+    before = stored_names(spark)
+    with pytest.raises(Exception, match="nowhere"):
+        minimum_spanning_forest(edges.withColumn("weight", F.expr("raise_error('nowhere')")))
+    with pytest.raises(ValueError):
+        trees.shortest_path_tree(edge_df(spark, {(1, 2): -1.0}), 1)
+    monkeypatch.setattr(trees, "_best_offers", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        trees.shortest_path_tree(edges, 0)
+    assert stored_names(spark) == before
+
+
+def test_known_paths_are_not_shuffled(spark):
+    """Offers are dealt by vertex, where the stored paths already lie."""
+    edges = edge_df(spark, {(1, 2): 1.0, (2, 3): 2.0, (1, 3): 3.0})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with trees.ShortestPaths(edges, 1) as found:
+            reached = found.reached
+            assert len(reached.levels) > 1
+            offers = spark.range(9).selectExpr(
+                "id AS vertex", "1D AS dist", "1 AS hops", "0L AS parent", "true AS open", "1D AS weight"
+            )
+            better = reached.without_worse(trees._best_offers(offers, found.arcs.buckets))
+            plan = better._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1 and plan.count("Bucketed: true") == len(reached.levels)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def brute_paths(edges, source):
+    """Least (dist, hops, parent) of every vertex."""
+    arcs = [(a, b, w) for (a, b), w in edges.items()] + [(b, a, w) for (a, b), w in edges.items()]
+    best = {source: (0.0, 0, None)}
+    for _ in range(len({x for e in edges for x in e}) + 1):
+        for a, b, w in arcs:
+            if a in best and b != source:
+                offer = (best[a][0] + w, best[a][1] + 1, a)
+                if b not in best or offer < best[b]:
+                    best[b] = offer
+    return {v: (d, p) for v, (d, _, p) in best.items() if v != source}
+
+
+def brute_forest(edges):
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    out = {}
+    for (a, b), w in sorted(edges.items(), key=lambda e: (e[1], e[0])):
+        if find(a) != find(b):
+            root[find(a)] = find(b)
+            out[a, b] = w
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_relief_repairs_the_trees(spark, monkeypatch, seed):
+    """What changes after relief equals a tree made anew, with small rounds and bands too."""
+    monkeypatch.setattr(trees, "LEVELS", 2 + seed)
+    monkeypatch.setattr(trees, "HOPS", 1 + seed)
+    monkeypatch.setattr(trees, "BAND_ROWS", 2 + 3 * seed)
+    rng = random.Random(seed)
+    n = 14
+    edges = {}
+    for _ in range(34):
+        a, b = sorted(rng.sample(range(n), 2))
+        edges[a, b] = rng.choice([0.0, 0.5, 1.0, 2.0, 3.5, 8.0])
+    edges[100, 101] = 1.0  # another component
+    table = edge_df(spark, edges)
+    vertex = rng.choice([x for e in edges for x in e if x < n])
+    relieved = {e: w * 0.5 if vertex in e else w for e, w in edges.items()}
+    source = min(x for e in edges for x in e)
+    with trees.ShortestPaths(table, source) as found:
+        before = {r.vertex: (r.dist, r.parent) for r in found.tree().collect()}
+        after = found.relieved(vertex, 0.5).collect()
+    assert before == brute_paths(edges, source)
+    assert {r.vertex: (r.dist, r.parent) for r in after} == brute_paths(relieved, source)
+    assert all(r.edge_weight == relieved[min(r.parent, r.vertex), max(r.parent, r.vertex)] for r in after)
+    edges[3, 200] = -4.0
+    table = edge_df(spark, edges)
+    for vertex in (vertex, 3):  # at 3 a negative weight rises
+        relieved = {e: w * 0.5 if vertex in e else w for e, w in edges.items()}
+        forest = trees.relieved_forest(minimum_spanning_forest(table), table, vertex, 0.5)
+        assert {(r.src, r.dst): r.weight for r in forest.collect()} == brute_forest(relieved)
 
 
 def test_minima_need_no_sort(spark):
-    """Picks and offers are aggregated by hash."""
+    """Picks are aggregated by hash."""
     edges = edge_df(spark, {(1, 2): 1.0, (2, 3): 2.0, (1, 3): 3.0})
     live = edges.selectExpr("src AS a", "dst AS b", "CAST(weight AS BIGINT) AS rank")
-    with arc_module.ArcTable(edges, 3) as arcs:
-        fresh = spark.createDataFrame([(1, 0.0, 0, None)], "vertex bigint, dist double, hops int, parent bigint")
-        frames = [contraction._ranked_hooks(live), contraction._hooks(live)]
-        frames.append(trees._improved(arcs, fresh, [fresh]))
-        for frame in frames:
-            plan = frame._jdf.queryExecution().executedPlan().toString()
-            assert "HashAggregate" in plan and "SortAggregate" not in plan
+    frames = [contraction._ranked_hooks(live), contraction._hooks(live)]
+    for frame in frames:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_unknown_source(spark):
