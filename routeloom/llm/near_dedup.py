@@ -10,7 +10,7 @@ full sets.
 Documents with equal sets are one node from the start.  In a bucket of equal bands, members are
 first compared with one centre only.  In a bucket that still holds several components, each member
 is then compared with its nearest one in another component, by the registers; and last with all
-likely ones there.
+there that finer registers leave likely.
 """
 
 from __future__ import annotations
@@ -35,6 +35,9 @@ _REACH = 10.0
 BLOCK = 1000
 #: A pair is dropped if the threshold is less likely than the best similarity by exp(-16).
 UNLIKELY = 16.0
+#: Registers of the finer sketches that tell apart the members of crowded buckets; of each its low
+#: byte.
+FINE = 1024
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,10 +108,31 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     return mix(bands + mix(np.arange(bands.shape[1], dtype=np.uint64) + np.uint64(1)))
 
 
+def low_bytes(registers: np.ndarray) -> np.ndarray:
+    """The low byte of each register; different registers share it once in 256 times."""
+    return (registers & 0xFF).astype(np.uint8)
+
+
+def may_reach_finely(a, b, n_a, n_b, threshold: float) -> np.ndarray:
+    """As :func:`may_reach`, by the number of equal low bytes of finer registers."""
+    same, m = (a == b).sum(axis=1), a.shape[1]
+    equal = np.exp(_log_parts(n_a, n_b, np.array([threshold]))[2])[:, 0]
+    at_least = equal + (1 - equal) / 256
+    seen = np.clip(same / m, 1e-12, 1 - 1e-12)
+    found = same * np.log(seen / at_least) + (m - same) * np.log((1 - seen) / (1 - at_least))
+    return (seen >= at_least) | (found <= UNLIKELY)
+
+
 def log_likelihoods(a, b, n_a, n_b, similarity: np.ndarray) -> np.ndarray:
     """Log-likelihood of each ``similarity`` for each pair of registers and set sizes."""
     more, less = (a > b).sum(axis=1), (a < b).sum(axis=1)
     same = a.shape[1] - more - less
+    parts = zip((more, less, same), _log_parts(n_a, n_b, similarity), strict=True)
+    return sum(n[:, None] * log for n, log in parts)
+
+
+def _log_parts(n_a, n_b, similarity: np.ndarray) -> list[np.ndarray]:
+    """Logarithms of the chances that a register is larger in a, larger in b, and equal."""
     u = (n_a / (n_a + n_b))[:, None]
     j = np.minimum(similarity[None, :], np.minimum(u / (1 - u), (1 - u) / u))
 
@@ -116,8 +140,7 @@ def log_likelihoods(a, b, n_a, n_b, similarity: np.ndarray) -> np.ndarray:
         return -np.log1p(-np.maximum(x, 0) * (BASE - 1) / BASE) / np.log(BASE)
 
     above, below = p(u - (1 - u) * j), p((1 - u) - u * j)
-    parts = [(more, above), (less, below), (same, 1 - above - below)]
-    return sum(n[:, None] * np.log(np.maximum(x, 1e-12)) for n, x in parts)
+    return [np.log(np.maximum(x, 1e-12)) for x in (above, below, 1 - above - below)]
 
 
 def may_reach(a, b, n_a, n_b, threshold: float) -> np.ndarray:
@@ -248,11 +271,34 @@ class _Finder:
         both = both.where(f"100 * least(n_a, n_b) >= {self.percent} * greatest(n_a, n_b)")
         return both.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, schema)
 
-    def across(self, members: DataFrame, nodes: DataFrame, nearest: bool) -> DataFrame:
+    def finer(self, sets: DataFrame) -> DataFrame:
+        """``(node, fine)``: low bytes of the finer registers of each set."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 200):
+                    batch = whole.slice(at, 200)
+                    lists = batch.column("shingles")
+                    sizes = np.diff(lists.offsets.to_numpy())
+                    hashes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                    rows = np.repeat(np.arange(batch.num_rows), sizes)
+                    fine = low_bytes(sketch(rows, hashes, batch.num_rows, FINE))
+                    columns = [batch.column("node"), pa.array(map(bytes, fine), pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["node", "fine"])
+
+        schema = T.StructType(
+            [T.StructField("node", self.id_type), T.StructField("fine", T.BinaryType())]
+        )
+        return sets.select("node", "shingles").mapInArrow(run, schema)
+
+    def across(
+        self, members: DataFrame, nodes: DataFrame, sets: DataFrame, nearest: bool
+    ) -> DataFrame:
         """Likely pairs ``a, b`` of different components in buckets that hold several.
 
         A bucket is cut into blocks, and each pair of blocks is compared in one task, register by
-        register; only likely pairs leave it, or for each member only the ``nearest`` one.
+        register, and by finer registers; only likely pairs leave it, or for each member only the
+        ``nearest`` one.
         """
         several = members.groupBy("key").agg(
             F.min("label").alias("l1"), F.max("label").alias("l2"), F.count("*").alias("c")
@@ -262,6 +308,9 @@ class _Finder:
             "block", F.pmod(F.xxhash64("node"), F.col("blocks"))
         )
         known = nodes.select(F.col("_id").alias("node"), "n", "registers")
+        if not nearest:
+            apart = rows.select("node").distinct()
+            known = known.join(self.finer(sets.join(apart, "node", "left_semi")), "node")
         units = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
             "key",
             F.least("block", "other").alias("p"),
@@ -308,6 +357,17 @@ class _Finder:
                 if not nearest:  # a pair leaves the bucket of its first common band only
                     common = bands[a] == bands[b]
                     keep &= bands[a, common.argmax(axis=1)] == key
+                    a, b = a[keep], b[keep]
+                    raw = b"".join(unit.column("fine").to_pylist())
+                    fine = np.frombuffer(raw, np.uint8).reshape(-1, FINE)
+                    parts = [slice(at, at + 4096) for at in range(0, len(a), 4096)]
+                    keep = np.concatenate(
+                        [
+                            may_reach_finely(fine[a[c]], fine[b[c]], n[a[c]], n[b[c]], threshold)
+                            for c in parts
+                        ]
+                        or [np.zeros(0, bool)]
+                    )
                 a, b = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
             node = unit.column("node")
             return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
@@ -385,7 +445,8 @@ def near_duplicates(
     shared = stored(shared.where("c > 1").select("key", "centre"), "buckets")
     crowd = stored(bands.join(shared, "key"), "crowd")  # bucket members, each with its centre
 
-    sets = None
+    wanted = crowd.select(F.col("node").alias("_id")).distinct()
+    sets = stored(finder.full_sets(wanted), "sets")
     several = members.groupBy("_id").agg(F.min("node").alias("a"), F.count("*").alias("c"))
     ties = members.join(several.where("c > 1"), "_id").where("node <> a")
     # an id with several texts ties their nodes together
@@ -400,12 +461,9 @@ def near_duplicates(
             labelled = crowd.join(labels, "node", "left").select(
                 "key", "node", F.coalesce("label", "node").alias("label")
             )
-            pairs = finder.across(labelled, nodes, turn == "nearest")
+            pairs = finder.across(labelled, nodes, sets, turn == "nearest")
         pairs = stored(pairs, "pairs")
         if pairs.limit(1).count():
-            if sets is None:
-                wanted = crowd.select(F.col("node").alias("_id")).distinct()
-                sets = stored(finder.full_sets(wanted), "sets")
             links = links.unionByName(stored(finder.verified(pairs, sets), "links"))
         labels = components(links)
     placed = members.join(labels, "node", "left").groupBy("_id").agg(
