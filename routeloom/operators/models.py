@@ -27,8 +27,11 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from routeloom.functions.ordering import dense_index
+from routeloom.functions.skew import lookup_join
+from routeloom.operators.best_items import BestItems
 from routeloom.operators.statistics import curve_areas, threshold_metrics
-from routeloom.workspace import freeze
+from routeloom.workspace import freeze, freeze_counting
 
 SEED = 42
 
@@ -62,16 +65,33 @@ def _clusters(model, points: DataFrame) -> DataFrame:
 
 
 class Recommender:
-    """Alternating least squares over ``(user, item, rating)``, fitted on four fifths."""
+    """Alternating least squares over ``(user, item, rating)``, fitted on four fifths.
+
+    Ids of any type that can be sorted are numbered for the learner, in order, and come back in
+    all results.  Ratings without a user, an item or a rating are left out.
+    """
 
     def __init__(self, ratings: DataFrame, rank: int = 10, rounds: int = 5, reg: float = 0.1):
-        ratings = freeze(ratings.select("user", "item", "rating"), "ratings")
-        training, self.test = ratings.randomSplit([0.8, 0.2], SEED)
+        whole = ratings.select("user", "item", "rating").dropna()
+        ratings = freeze(whole, "ratings")
+        self.names = {side: self._numbered(ratings, side) for side in ("user", "item")}
+        for side, names in self.names.items():
+            ratings = lookup_join(ratings, names, side).withColumnRenamed("number", f"{side}_number")
+        training, self.test = freeze(ratings, "ratings").randomSplit([0.8, 0.2], SEED)
         self.model = ALS(
             rank=rank, maxIter=rounds, regParam=reg, coldStartStrategy="drop", seed=SEED,
-            userCol="user", itemCol="item", ratingCol="rating",
+            userCol="user_number", itemCol="item_number", ratingCol="rating",
         ).fit(training)
 
+    @staticmethod
+    def _numbered(ratings: DataFrame, side: str) -> DataFrame:
+        names, n = freeze_counting(
+            dense_index(ratings.select(side).distinct(), [side], "number"), "names"
+        )
+        if n >= 1 << 31:
+            raise ValueError(f"the learner takes at most {(1 << 31) - 1} different ids, not {n}")
+        return names.select(side, F.col("number").cast("int").alias("number"))
+
     def error(self) -> DataFrame:
         """Root mean square error on the ratings held back, leaving out unseen ids."""
         miss = F.col("rating") - F.col("prediction")
@@ -79,23 +99,33 @@ class Recommender:
             F.sqrt(F.avg(miss * miss)).alias("rmse"), F.count("*").alias("n")
         )
 
-    def for_users(self, k: int, users: DataFrame | None = None) -> DataFrame:
-        if users is None:
-            found = self.model.recommendForAllUsers(k)
-        else:
-            found = self.model.recommendForUserSubset(users, k)
-        return found.select("user", F.posexplode("recommendations").alias("place", "r")).select(
-            "user", "place", "r.item", "r.rating"
+    def search(self, side: str, k: int, some: DataFrame | None = None) -> BestItems:
+        """The search for the ``k`` best of the other side, for all of ``side`` or ``some``."""
+        factors = {"user": self.model.userFactors, "item": self.model.itemFactors}
+        own, other = factors.pop(side), *factors.values()
+        if some is not None:
+            known = lookup_join(some.select(side).distinct(), self.names[side], side)
+            own = own.join(known.select(F.col("number").alias("id")), "id", "left_semi")
+        return BestItems(own, other, k)
+
+    def _best(self, side: str, other: str, k: int, some: DataFrame | None) -> DataFrame:
+        found = self.search(side, k, some).best().withColumn("rating", F.col("score").cast("float"))
+        for name, column in ((side, "user"), (other, "item")):
+            names = self.names[name].select(
+                F.col("number").alias(f"_{column}"), F.col(name).alias(f"_{name}_name")
+            )
+            found = lookup_join(
+                found.withColumnRenamed(column, f"_{column}"), names, f"_{column}"
+            )
+        return found.select(
+            F.col(f"_{side}_name").alias(side), "place", F.col(f"_{other}_name").alias(other), "rating"
         )
 
+    def for_users(self, k: int, users: DataFrame | None = None) -> DataFrame:
+        return self._best("user", "item", k, users)
+
     def for_items(self, k: int, items: DataFrame | None = None) -> DataFrame:
-        if items is None:
-            found = self.model.recommendForAllItems(k)
-        else:
-            found = self.model.recommendForItemSubset(items, k)
-        return found.select("item", F.posexplode("recommendations").alias("place", "r")).select(
-            "item", "place", "r.user", "r.rating"
-        )
+        return self._best("item", "user", k, items)
 
 
 def _tree_steps(numbers: list[str], categories: list[str], label: str | None):

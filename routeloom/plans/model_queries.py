@@ -65,8 +65,8 @@ def _recommender(spark, folder):
     ratings = (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(
-            F.col("o_custkey").cast("int").alias("user"),
-            F.col("l_partkey").cast("int").alias("item"),
+            F.col("o_custkey").alias("user"),
+            F.col("l_partkey").alias("item"),
         )
         .agg(F.sum("l_quantity").alias("rating"))
     )
@@ -75,7 +75,7 @@ def _recommender(spark, folder):
 
 def als_for_some_users(spark, folder):
     buyers = table(spark, folder, "customer").where("c_mktsegment = 'BUILDING'")
-    users = buyers.select(F.col("c_custkey").cast("int").alias("user"))
+    users = buyers.select(F.col("c_custkey").alias("user"))
     return _recommender(spark, folder).for_users(10, users)
 
 
@@ -193,6 +193,7 @@ QUERIES = {
     "als_top10": lambda s, d: _recommender(s, d).for_users(10),
     "als_top10_items": lambda s, d: _recommender(s, d).for_items(10),
     "als_top10_some_users": als_for_some_users,
+    "als_pairs_scored": lambda s, d: _recommender(s, d).search("user", 10).cost(),
     "tree_classifier": tree_classifier,
     "forest_accuracy": lambda s, d: models.accuracy(forest_classifier(s, d)),
     "tree_regressor": tree_regressor,

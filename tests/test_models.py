@@ -3,10 +3,11 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from routeloom.operators import features, models
+from routeloom.operators import best_items, features, models
 from routeloom.sources.formats import bucketed, drop_table
 
 
@@ -45,6 +46,55 @@ def test_recommender(spark):
     assert {x["user"] for x in found.for_users(2, some).collect()} == {3}
 
 
+def test_long_and_text_ids(spark):
+    likes = [(u * 10**12, f"i{i:02}", 5.0 if u % 2 == i % 2 else 1.0) for u in range(8) for i in range(8)]
+    rows = spark.createDataFrame(likes + [(None, "i01", 1.0)], "user bigint, item string, rating double")
+    found = models.Recommender(rows, rank=2, rounds=8, reg=0.01)
+    best = found.for_users(2).collect()
+    assert {x["user"] for x in best} == {u * 10**12 for u in range(8)}
+    assert all(x["user"] // 10**12 % 2 == int(x["item"][1:]) % 2 for x in best)
+    assert {x["user"] for x in found.for_items(1).collect()} <= {u * 10**12 for u in range(8)}
+
+
+@pytest.mark.parametrize("flat", [False, True])
+def test_best_items_equal_full_scoring(spark, monkeypatch, flat):
+    """The same lists as scoring all pairs, ties included, from far fewer scores."""
+    monkeypatch.setattr(best_items, "HEAD", 16)
+    monkeypatch.setattr(best_items, "BLOCK", 32)
+    monkeypatch.setattr(best_items, "GROUP", 20)
+    rng = np.random.default_rng(3)
+    users = rng.standard_normal((60, 6)) * (np.ones(6) if flat else [4, 2, 1, 0.3, 0.2, 0.1])
+    items = np.repeat(rng.standard_normal((400, 6)), 2, axis=0)  # every item twice: ties
+    items *= rng.lognormal(0, 0.0 if flat else 0.7, 800)[:, None].round(1)
+    items[:3] = 0
+    frames = [
+        spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id int, features array<float>")
+        for m in (users, items)
+    ]
+    search = best_items.BestItems(*frames, k=5)
+    got = {}
+    for r in search.best().orderBy("user", "place").collect():
+        got.setdefault(r["user"], []).append((r["item"], r["score"]))
+    u, v = users.astype(np.float32).astype(float), items.astype(np.float32).astype(float)
+    for i in range(60):
+        scores = best_items._scores(u[i][None], v)
+        want = sorted(range(800), key=lambda j: (-scores[j], j))[:5]
+        assert [j for j, _ in got[i]] == want
+        assert [s for _, s in got[i]] == pytest.approx(list(scores[want]))
+    cost = search.cost().first()
+    assert cost["pairs"] == 48_000 and (flat or cost["scored"] < 0.2 * cost["pairs"])
+
+
+def test_few_or_no_items(spark):
+    schema = "id int, features array<float>"
+    one = spark.createDataFrame([(7, [1.0, 2.0]), (9, [0.0, 1.0])], schema)
+    none = spark.createDataFrame([], schema)
+    rows = best_items.BestItems(one, one, 5).best().orderBy("user", "place").collect()
+    assert [(r["user"], r["item"], r["score"]) for r in rows] == [(7, 7, 5.0), (7, 9, 2.0), (9, 7, 2.0), (9, 9, 1.0)]
+    assert best_items.BestItems(none, one, 5).best().count() == 0
+    assert best_items.BestItems(one, none, 5).best().count() == 0
+
+
 @pytest.fixture(scope="module")
 def steps(spark):
     rows = [("hi" if i % 10 > 5 else "lo", float(i % 10), "a" if i % 3 else "b", 7.0 * (i % 10 > 5)) for i in range(200)]
