@@ -195,6 +195,35 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc_words d LEFT JOIN words_hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+""",
+    "op5_minhash_dedup": r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p, len(w) AS n FROM doc_words
+), runs AS (
+  SELECT doc_id, p, n, concat_ws(' ', word, lead(word, 1) OVER d, lead(word, 2) OVER d,
+                                 lead(word, 3) OVER d) AS g
+  FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+), shingles AS (
+  SELECT DISTINCT doc_id, g FROM runs WHERE p <= greatest(n - 4, 0)
+), sets AS (
+  SELECT d.doc_id, count(g) AS size FROM doc_words d LEFT JOIN shingles USING (doc_id) GROUP BY ALL
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sets x ON a = x.doc_id JOIN sets y ON b = y.doc_id
+  WHERE 100 * n >= 80 * (x.size + y.size - n)
+), ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION SELECT doc_id, b FROM reached JOIN ways ON other = a
+), placed AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, size AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN placed USING (doc_id)
 """,
     "op6_line_dedup": r"""
 WITH lines AS (

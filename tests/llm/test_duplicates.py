@@ -162,6 +162,51 @@ def test_near_duplicates_with_odd_rows(odd, rows, empty):
     assert near_duplicates(empty).count() == 0
 
 
+def test_pairs_of_like_documents_stay_few(spark, monkeypatch):
+    """A family of copies well below the threshold: verified pairs do not grow with its square."""
+    counts, plain = [], near_dedup.stored
+
+    def counting(df, name):
+        table = plain(df, name)
+        if name == "pairs":
+            counts.append(table.count())
+        return table
+
+    monkeypatch.setattr(near_dedup, "stored", counting)
+    rng = np.random.default_rng(4)
+    base = [f"word{i}" for i in range(60)]
+    verified = []
+    for n in (100, 200):
+        rows = []
+        for i in range(n):
+            words = list(base)
+            for place in rng.choice(60, 2, replace=False):
+                words[place] = f"other{i}x{place}"
+            rows.append((i, " ".join(words)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        groups = expected_groups(shingle_sets(rows, 4), 80)
+        counts.clear()
+        got = by_id(near_duplicates(docs, 4))
+        assert {i: r["component_id"] for i, r in got.items()} == groups
+        verified.append(sum(counts))
+    assert verified[1] < 16 * 200 and verified[1] <= 3 * verified[0], verified
+
+
+def test_finer_registers_keep_what_reaches_the_threshold():
+    rng = np.random.default_rng(6)
+    pool = rng.integers(1, 1 << 63, 4000).astype(np.uint64)
+    sets = []
+    for common in (178, 160, 150, 120, 60):  # of 200 each: similarities 0.8, 0.67, 0.6, 0.43, 0.18
+        for _ in range(20):
+            own = rng.choice(pool, 400 - common, replace=False)
+            sets += [own[:200], own[200 - common :]]
+    at = np.repeat(np.arange(200), 200)
+    fine = near_dedup.low_bytes(near_dedup.sketch(at, np.concatenate(sets), 200, near_dedup.FINE))
+    n = np.full(100, 200)
+    kept = near_dedup.may_reach_finely(fine[0::2], fine[1::2], n, n, 0.8).reshape(5, 20)
+    assert kept[0].all() and not kept[2:].any()
+
+
 def test_chain_that_no_centre_sees(spark):
     """Neighbours are linked, ends are not; every centre misses some links."""
     words = [f"w{i}" for i in range(260)]
