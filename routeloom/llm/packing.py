@@ -13,7 +13,6 @@ import re
 import struct
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -130,11 +129,15 @@ class WordTokens:
     For tokenizers that drop white space and keep letters apart from other signs before they
     merge bytes: cutting at blanks and line ends, and between Latin letters and the ASCII signs
     that end a word, then keeps all ids.  Lower-case letters go straight to the merges, if probes
-    show that this gives the same ids; everything else takes the tokenizer's whole way.
+    show that this gives the same ids, in upper case too; everything else takes the tokenizer's
+    whole way.
     """
 
     PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:|%&*#$]*)")
-    PROBES = "a of the word shening zqxjk internationalization \u00e9t\u00e9 \u00f1a\u00fffo \u00df".split()
+    PROBES = (
+        "a of the word shening zqxjk internationalization \u00e9t\u00e9 \u00f1a\u00fffo \u00df "
+        "A The WORD Hello World iPhone \u00c9t\u00e9 \u00d1A"
+    ).split()
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -149,7 +152,7 @@ class WordTokens:
         self.written = {b: 256 + i for i, b in enumerate(moved)}
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.straight = all(self._whole([w])[0] == self._letters(w) for w in self.PROBES)
+        self.straight = all(self._whole([w])[0] == self._letters(w.lower()) for w in self.PROBES)
 
     def _whole(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -180,18 +183,19 @@ class WordTokens:
             self.known.update(zip(part, self._whole(part), strict=True))
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        split = []
-        for text in texts:
-            if any(s in text for s in self.blank):
-                split.append([text])  # cutting at blanks would break such a special token
-            else:
-                split.append(text.replace("\n", " ").split(" "))
-        words = set(chain.from_iterable(split))
         if len(self.known) > MEMORY_WORDS // 2:
             self.known = {}
-        self._learn(words.difference(self.known))
         get = self.known.__getitem__
-        return (b"".join(map(get, words)) for words in split)
+        for text in texts:
+            if any(s in text for s in self.blank):
+                words = [text]  # cutting at blanks would break such a special token
+            else:
+                words = text.replace("\n", " ").split(" ")
+            try:
+                yield b"".join(map(get, words))
+            except KeyError:  # most texts have no new words
+                self._learn(set(words).difference(self.known))
+                yield b"".join(map(get, words))
 
 
 def _bytes(ids: list[int]) -> bytes:

@@ -50,6 +50,25 @@ def test_round_trip(docs, rows, capacity, pool):
     assert len(sequences) <= total // capacity + partitions * capacity.bit_length()
 
 
+def test_case_keeping_tokenizer(tmp_path):
+    """Without the step that lower-cases, no word takes the short way."""
+    import json
+
+    with open(PATH) as file:
+        spec = json.load(file)
+    steps = spec["normalizer"]["normalizers"]
+    spec["normalizer"]["normalizers"] = [x for x in steps if x["type"] != "Lowercase"]
+    assert len(steps) > len(spec["normalizer"]["normalizers"])
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(spec))
+    plain = Tokenizer.from_file(str(path))
+    texts = ["Hello World", "hello world", "The END, of\nthe Word. iPhone ÉTÉ été"]
+    tokens = WordTokens(str(path))
+    assert not tokens.straight and WordTokens(PATH).straight
+    for text, ids in zip(texts, tokens(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_words_are_cut_safely():
     """Ids of odd texts equal the tokenizer's own."""
     odd = "don't DON'T, we'll... '!! a.b,c a!=b 3.14,15 é.é ÀÉ!! İst Σας. KK"
