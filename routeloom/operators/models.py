@@ -258,9 +258,10 @@ class TextSearch:
 
     def __init__(self, texts: DataFrame, column: str, label: str):
         self.column = column
+        # a missing text is an empty one, as in predictions; a missing label teaches nothing
         labelled = texts.select(
-            F.col(column).alias("text"), F.col(label).cast("double").alias("label")
-        )
+            F.coalesce(column, F.lit("")).alias("text"), F.col(label).cast("double").alias("label")
+        ).where("label IS NOT NULL")
         rows = freeze(labelled, "texts")
         self._search(rows)
 

@@ -7,10 +7,10 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark import TaskContext
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,14 +136,48 @@ def column_cosine(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def sampled_column_cosine(df: DataFrame, column: str, threshold: float) -> DataFrame:
-    """Estimate of :func:`column_cosine` by sampling, sure only above ``threshold``."""
-    vectors = df.select(array_to_vector(F.col(column).cast("array<double>")).alias("row"))
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "row"))
-    entries = matrix.columnSimilarities(threshold).entries
-    return df.sparkSession.createDataFrame(
-        entries.map(lambda e: (e.i, e.j, float(e.value))), "i bigint, j bigint, similarity double"
-    )
+def sampled_column_cosine(
+    df: DataFrame, column: str, threshold: float, seed: int = 42
+) -> DataFrame:
+    """Estimate of :func:`column_cosine` from sampled elements, sure only above ``threshold``.
+
+    An element of a column is kept with a chance that falls with the column's length, so long
+    columns give no more products than short ones; kept elements are scaled so that the products'
+    sum is right on average.  Arrays and sparse or dense vectors are taken.  Each batch adds one
+    Gram matrix of its kept elements, and these are added like the exact ones.  A smaller
+    ``threshold`` keeps more; 0 keeps all.
+    """
+    values = F.col(column)
+    if isinstance(df.schema[column].dataType, VectorUDT):
+        values = vector_to_array(values)
+    rows = df.select(values.cast("array<double>").alias("row")).where("row IS NOT NULL")
+
+    def squares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                total = (np.stack(batch["row"].to_numpy()) ** 2).sum(axis=0)
+                yield pd.DataFrame({"i": np.arange(len(total)), "square": total})
+
+    sums = rows.mapInPandas(squares, "i bigint, square double").groupBy("i").agg(F.sum("square"))
+    lengths = np.sqrt([total for _, total in sorted(tuple(r) for r in sums.collect())])
+    reach = np.inf if threshold < 1e-6 else np.sqrt(10 * np.log(max(2, len(lengths))) / threshold)
+    scale = np.where(lengths > 0, np.minimum(reach, lengths), 1.0)
+    chance = np.divide(reach, lengths, out=np.ones(len(lengths)), where=lengths > 0)
+
+    def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(lengths), len(lengths)))
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        for batch in batches:
+            if len(batch):
+                values = np.stack(batch["row"].to_numpy())
+                kept = np.where(rng.random(values.shape) < chance, values / scale, 0.0)
+                total += kept.T @ kept
+        i, j = np.triu_indices(len(lengths), 1)
+        some = total[i, j] != 0
+        yield pd.DataFrame({"i": i[some], "j": j[some], "part": total[i, j][some]})
+
+    parts = rows.mapInPandas(gram, "i bigint, j bigint, part double")
+    return parts.groupBy("i", "j").agg(F.sum("part").alias("similarity"))
 
 
 def mean_absolute_error(exact: DataFrame, estimate: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from routeloom.sources.formats import (
     write_table,
 )
 from routeloom.sources.tables import table
+from routeloom.streaming.windows import WindowCounts, in_batches
 from routeloom.streaming.words import count_stream, running_total, text_stream
 from routeloom.workspace import freeze, new_path
 
@@ -182,7 +183,25 @@ def udf_scalar(spark, folder):
     return line.select(*LINE_KEY, multiply("l_partkey", "l_suppkey").alias("product"))
 
 
+def _event_windows(spark, folder):
+    """Six-hour windows by kind of event, from five batches in the order of time."""
+    events = table(spark, folder, "events").select("ts", "event_type", "value")
+    counts = WindowCounts(
+        spark, in_batches(events, "ts", 5), "ts timestamp, event_type string, value double",
+        time="ts", keys=["event_type"], value="value", width="6 hours", delay="1 hour",
+    )
+    counts.run()
+    return counts
+
+
+def event_windows(spark, folder):
+    found = _event_windows(spark, folder).windows()
+    return found.select("event_type", "start", "n", F.round("total", 4).alias("total"))
+
+
 QUERIES = {
+    "event_windows": event_windows,
+    "event_windows_late": lambda s, d: _event_windows(s, d).late(),
     "word_count": lambda s, d: word_counts(_documents(s, d)),
     "word_total": lambda s, d: word_total(word_counts(_documents(s, d))),
     "stream_word_count": _stream,
@@ -226,6 +245,13 @@ SQL = {
         SELECT count(*) AS words
         FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\r\n]')) AS word FROM documents)
         WHERE word <> ''""",
+    "event_windows": """
+        SELECT event_type, time_bucket(INTERVAL 6 HOURS, CAST(ts AS TIMESTAMP),
+                                       TIMESTAMP '1970-01-01') AS start,
+               count(*) AS n, round(sum(value), 4) AS total
+        FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
+    "event_windows_late": """
+        SELECT CAST(0 AS BIGINT) AS late, count(ts) AS arrived FROM events""",
     "stream_word_count": r"""
         SELECT CAST(0 AS BIGINT) AS epoch_id, word, count(*) AS n
         FROM (SELECT unnest(regexp_split_to_array(text, '[ \r\n]')) AS word FROM documents)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from routeloom.operators import features, models, similarity, statistics
 from routeloom.operators.rules import association_rules
 from routeloom.operators.words import word_counts
+from routeloom.streaming.windows import WindowCounts
 from routeloom.streaming.words import count_stream, running_total, text_stream
 from routeloom.workspace import new_path
 
@@ -28,6 +29,36 @@ def test_stream_counts_each_batch(spark):
     assert {tuple(r) for r in running_total(epochs).collect()} == {tuple(r) for r in batch.collect()}
 
 
+def test_windows_across_batches_and_restarts(spark):
+    """State goes on after a restart; rows behind the watermark are left out and counted."""
+    schema = "ts timestamp, kind string, value double"
+    path = new_path(spark, "arrivals")
+
+    def arrive(*rows):
+        made = spark.createDataFrame([(str(t), k, v) for t, k, v in rows], "ts string, kind string, value double")
+        made = made.withColumn("ts", F.to_timestamp(F.concat(F.lit("2024-01-01 "), "ts")))
+        made.coalesce(1).write.mode("append").parquet(path)
+
+    counts = WindowCounts(spark, path, schema, "ts", ["kind"], "value", "1 hour", "1 hour", 1)
+    arrive(("00:10:00", "a", 1.0), ("00:20:00", "b", 2.0), ("01:05:00", "a", 4.0))
+    arrive(("00:50:00", "a", 8.0), ("None", "a", 99.0), ("04:00:00", "b", 16.0))
+    counts.run()
+    got = {(r.kind, r.start.hour): (r.n, r.total) for r in counts.windows().collect()}
+    assert got == {("a", 0): (2, 9.0), ("b", 0): (1, 2.0), ("a", 1): (1, 4.0), ("b", 4): (1, 16.0)}
+    # a restart, of another object with the same progress; 00:30 is late by now, 03:59 is not
+    arrive(("00:30:00", "a", 32.0), ("03:59:00", "a", 64.0), ("04:30:00", "b", 128.0))
+    again = WindowCounts(spark, path, schema, "ts", ["kind"], "value", "1 hour", "1 hour", 1)
+    again.out, again.progress = counts.out, counts.progress
+    again.run()
+    got = {(r.kind, r.start.hour): (r.n, r.total) for r in again.windows().collect()}
+    assert got == {
+        ("a", 0): (2, 9.0), ("b", 0): (1, 2.0), ("a", 1): (1, 4.0), ("a", 3): (1, 64.0), ("b", 4): (2, 144.0)
+    }
+    assert tuple(again.late().first()) == (1, 8)
+    again.run()
+    assert again.windows().count() == 5
+
+
 def points(n, size, seed=1):
     r = random.Random(seed)
     return [(i, [r.uniform(0, 1) for _ in range(size)]) for i in range(n)]
@@ -241,6 +272,24 @@ def test_column_cosine(spark):
     assert statistics.mean_absolute_error(exact, guess).first().error == pytest.approx(0, abs=1e-9)
 
 
+def test_sampled_cosine_keeps_its_error(spark):
+    """Columns long enough to be sampled; sparse vectors give the same as arrays."""
+    from pyspark.ml.functions import array_to_vector
+
+    df = spark.createDataFrame(points(6000, 5, 9), "id bigint, v array<double>").repartition(4, "id")
+    exact = statistics.column_cosine(df, "v")
+    guess = statistics.sampled_column_cosine(df, "v", 0.5)
+    error = statistics.mean_absolute_error(exact, guess).first().error
+    assert 0 < error < 0.15
+    more = statistics.sampled_column_cosine(df, "v", 0.05)
+    assert statistics.mean_absolute_error(exact, more).first().error < error
+    vectors = df.select("id", array_to_vector("v").alias("v"))
+    same = statistics.sampled_column_cosine(vectors, "v", 0.5)
+    assert sorted(map(tuple, same.collect())) == pytest.approx(sorted(map(tuple, guess.collect())))
+    with_zero = spark.createDataFrame([(1, [0.0, 1.0]), (2, [0.0, 2.0])], "id bigint, v array<double>")
+    assert statistics.sampled_column_cosine(with_zero, "v", 0.5).count() == 0
+
+
 def test_models_learn(spark):
     r = random.Random(9)
     rows = [(float(x), r.random(), "p" if x > 0.5 else "q") for x in (r.random() for _ in range(400))]
