@@ -119,7 +119,8 @@ class Grid:
 
 def _cell_keys(cells: np.ndarray, table: int) -> np.ndarray:
     """A 64-bit number for each row of cell numbers; a chance meeting only adds comparisons."""
-    key = np.full(len(cells), table + 1, np.uint64)
+    start = (table + 1) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF
+    key = np.full(len(cells), start ^ start >> 32, np.uint64)
     for column in cells.T:
         key = (key ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
@@ -407,6 +408,8 @@ def _compared(rows: pd.DataFrame, threshold: float) -> Iterator[pd.DataFrame]:
         return
     a, b, distance = map(np.concatenate, zip(*found, strict=True))
     ids, copies = rows["id"].to_numpy(), rows["copies"].to_numpy()
+    other = ids[a] != ids[b]  # two tables may give one vector the same cell by chance
+    a, b, distance = a[other], b[other], distance[other]
     yield pd.DataFrame(
         {
             "id_a": ids[a],

@@ -185,7 +185,11 @@ def udf_scalar(spark, folder):
 
 def _event_windows(spark, folder):
     """Six-hour windows by kind of event, from five batches in the order of time."""
-    events = table(spark, folder, "events").select("ts", "event_type", "value")
+    # the table's times have no zone; as instants of UTC they fall in the same windows anywhere
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01', ts)")
+    events = table(spark, folder, "events").select(
+        F.timestamp_micros(micros).alias("ts"), "event_type", "value"
+    )
     counts = WindowCounts(
         spark, in_batches(events, "ts", 5), "ts timestamp, event_type string, value double",
         time="ts", keys=["event_type"], value="value", width="6 hours", delay="1 hour",
@@ -196,7 +200,8 @@ def _event_windows(spark, folder):
 
 def event_windows(spark, folder):
     found = _event_windows(spark, folder).windows()
-    return found.select("event_type", "start", "n", F.round("total", 4).alias("total"))
+    start = F.expr("unix_micros(start) DIV 1000000").alias("start")
+    return found.select("event_type", start, "n", F.round("total", 4).alias("total"))
 
 
 QUERIES = {
@@ -246,8 +251,8 @@ SQL = {
         FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\r\n]')) AS word FROM documents)
         WHERE word <> ''""",
     "event_windows": """
-        SELECT event_type, time_bucket(INTERVAL 6 HOURS, CAST(ts AS TIMESTAMP),
-                                       TIMESTAMP '1970-01-01') AS start,
+        SELECT event_type, CAST(epoch(time_bucket(INTERVAL 6 HOURS, CAST(ts AS TIMESTAMP),
+                                                  TIMESTAMP '1970-01-01')) AS BIGINT) AS start,
                count(*) AS n, round(sum(value), 4) AS total
         FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
     "event_windows_late": """
