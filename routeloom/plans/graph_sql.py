@@ -206,6 +206,27 @@ pr{k + 1} AS MATERIALIZED (
     return ",".join(steps)
 
 
+def distances(rounds: int, sources: str) -> str:
+    """CTEs that end in ``near{rounds}(vertex, dist)``, after so many rounds over ``edges``."""
+    steps = [
+        f"""
+either AS MATERIALIZED (
+    SELECT src, dst, weight FROM edges UNION ALL SELECT dst, src, weight FROM edges),
+near0 AS MATERIALIZED (
+    SELECT DISTINCT src AS vertex, CAST(0 AS DOUBLE) AS dist FROM either WHERE src IN ({sources}))"""
+    ]
+    for k in range(rounds):
+        steps.append(
+            f"""
+near{k + 1} AS MATERIALIZED (
+    SELECT vertex, min(dist) AS dist FROM (
+        SELECT * FROM near{k} UNION ALL
+        SELECT b.dst, r.dist + b.weight FROM near{k} r JOIN either b ON b.src = r.vertex)
+    GROUP BY vertex)"""
+        )
+    return ",".join(steps)
+
+
 def page_ranks_until(arcs: str, rounds: int, tolerance: float) -> str:
     """As :func:`page_ranks`, ending in ``ranks``: the first round that moves no rank by more."""
     moved = " UNION ALL ".join(

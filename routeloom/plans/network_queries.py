@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from routeloom.operators import graph, routes
+from routeloom.operators import graph, messages, routes
+from routeloom.operators.blocks import BlockMatrix
 from routeloom.plans import graph_sql as sql
 from routeloom.plans.graph_queries import user_edges
 from routeloom.sources.edge_list import read_edge_list, write_lines
@@ -13,6 +14,7 @@ from routeloom.workspace import freeze, new_path
 
 ROUNDS = 10
 TOLERANCE = 0.001
+SMALL = 1e-10
 
 
 def _rounded(ranks):
@@ -29,6 +31,44 @@ def pagerank_converged(spark, folder):
     return _rounded(graph.pagerank(arcs, tolerance=TOLERANCE))
 
 
+def residual_ranks(spark, folder):
+    arcs = graph.count_arcs(user_hops(spark, folder))
+    return _rounded(messages.residual_ranks(arcs, tolerance=SMALL))
+
+
+def distances_from(spark, folder):
+    """Distance of every user to the nearest of those that the first region's nations are."""
+    arcs = routes.symmetric(user_edges(spark, folder))
+    nations = table(spark, folder, "nation").where("n_regionkey = 0")
+    return messages.distances_from(arcs, nations.selectExpr("CAST(n_nationkey AS BIGINT) AS id"))
+
+
+def _hop_matrix(spark, folder):
+    arcs = graph.count_arcs(user_hops(spark, folder))
+    return BlockMatrix.from_entries(arcs.selectExpr("src AS row", "dst AS col", "n AS value"))
+
+
+def matrix_square(spark, folder):
+    """Number of ways from user to user in two hops."""
+    hops = _hop_matrix(spark, folder)
+    return hops.multiply(hops).entries()
+
+
+def matrix_sum(spark, folder):
+    """Hops between two users in either direction."""
+    hops = _hop_matrix(spark, folder)
+    return hops.add(hops.transpose()).entries()
+
+
+def matrix_gram(spark, folder):
+    """Inner products of the suppliers' columns of parts by their line items."""
+    line = table(spark, folder, "lineitem").selectExpr(
+        "l_partkey AS row", "l_suppkey AS col", "1 AS value"
+    )
+    parts = BlockMatrix.from_entries(line)
+    return parts.transpose().multiply(parts).entries()
+
+
 def edge_list_arcs(spark, folder):
     """Hops written as an edge list and read back."""
     path = new_path(spark, "edge-list")
@@ -86,6 +126,11 @@ def subgraph_top5(spark, folder):
 QUERIES = {
     "pagerank": pagerank,
     "pagerank_converged": pagerank_converged,
+    "pagerank_residual": residual_ranks,
+    "distances_from": distances_from,
+    "matrix_square": matrix_square,
+    "matrix_sum": matrix_sum,
+    "matrix_gram": matrix_gram,
     "edge_list_arcs": edge_list_arcs,
     "saved_ranks": saved_ranks,
     "connected_components": connected_components,
@@ -126,6 +171,33 @@ SQL = {
         sql.page_ranks_until("arcs", 20, TOLERANCE),
         select=_NORMAL.format(t="ranks"),
     ),
+    "pagerank_residual": sql.query(
+        *_ARCS, sql.page_ranks("arcs", 40), select=_NORMAL.format(t="pr40")
+    ),
+    "distances_from": sql.query(
+        sql.USER_ROUTES,
+        sql.EDGES,
+        sql.distances(10, "SELECT n_nationkey FROM nation WHERE n_regionkey = 0"),
+        select="SELECT vertex, dist FROM near10",
+    ),
+    "matrix_square": sql.query(
+        *_ARCS,
+        select="""
+        SELECT x.src AS row, y.dst AS col, CAST(sum(x.n * y.n) AS DOUBLE) AS value
+        FROM arcs x JOIN arcs y ON y.src = x.dst GROUP BY ALL""",
+    ),
+    "matrix_sum": sql.query(
+        *_ARCS,
+        select="""
+        SELECT row, col, CAST(sum(n) AS DOUBLE) AS value
+        FROM (SELECT src AS row, dst AS col, n FROM arcs UNION ALL SELECT dst, src, n FROM arcs)
+        GROUP BY ALL""",
+    ),
+    "matrix_gram": """
+        WITH cells AS (
+            SELECT l_partkey AS part, l_suppkey AS supp, count(*) AS n FROM lineitem GROUP BY ALL)
+        SELECT x.supp AS row, y.supp AS col, CAST(sum(x.n * y.n) AS DOUBLE) AS value
+        FROM cells x JOIN cells y USING (part) GROUP BY ALL""",
     "edge_list_arcs": sql.query(*_ARCS, select="SELECT * FROM arcs"),
     "saved_ranks": sql.query(
         *_ARCS, sql.page_ranks("arcs", ROUNDS), select=_NORMAL.format(t=f"pr{ROUNDS}")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from routeloom.functions.skew import lookup_join
 from routeloom.operators import features, statistics
+from routeloom.operators.frequent import frequent_items, quantile_ranks
 from routeloom.operators.rules import association_rules
+from routeloom.operators.words import words
 from routeloom.sources.formats import round_trip
 from routeloom.sources.tables import table
 
@@ -163,6 +165,31 @@ def vector_summary(spark, folder):
     return _round(found, "mean", "deviation")
 
 
+def frequent_words(spark, folder):
+    """Words that are at least one in 2,000 of all words of all documents."""
+    texts = table(spark, folder, "documents").select("text")
+    return frequent_items(words(texts), ["word"], 0.0005).select(F.col("item").alias("word"), "n")
+
+
+FREQUENT = ["l_suppkey", "l_linenumber", "l_returnflag"]
+
+
+def frequent_values(spark, folder):
+    return frequent_items(_line(spark, folder), FREQUENT, 0.0101)
+
+
+QUARTERS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+
+
+def quantile_check(spark, folder):
+    """Whether each quantile's true rank is as near as asked."""
+    ranks = quantile_ranks(_line(spark, folder), "l_extendedprice", QUARTERS, 0.001)
+    aim = F.col("probability") * F.col("n")
+    slack = F.lit(0.001) * F.col("n") + 1
+    near = (F.col("below") <= aim + slack) & (F.col("up_to") >= aim - slack)
+    return ranks.select("probability", "n", near.alias("near"))
+
+
 def describe(spark, folder):
     found = statistics.describe(_line(spark, folder), "l_extendedprice")
     return _round(found, "mean", "deviation", places=4)
@@ -194,6 +221,9 @@ QUERIES = {
     ),
     "vector_summary": vector_summary,
     "describe": describe,
+    "frequent_words": frequent_words,
+    "frequent_values": frequent_values,
+    "quantile_check": quantile_check,
 }
 
 
@@ -371,6 +401,23 @@ SQL = {
         FROM (SELECT CAST(unnest(range(len(embedding))) AS INTEGER) AS position,
                      CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
         GROUP BY position""",
+    "frequent_words": r"""
+        WITH words AS (
+            SELECT word FROM (
+                SELECT unnest(string_split_regex(text, '[ \t\r\n]')) AS word FROM documents)
+            WHERE word <> '')
+        SELECT word, count(*) AS n FROM words
+        GROUP BY word HAVING count(*) >= 0.0005 * (SELECT count(*) FROM words)""",
+    "frequent_values": " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS item, count(*) AS n FROM lineitem
+        WHERE {c} IS NOT NULL GROUP BY {c}
+        HAVING count(*) >= 0.0101 * (SELECT count({c}) FROM lineitem)"""
+        for c in FREQUENT
+    ),
+    "quantile_check": f"""
+        SELECT CAST(unnest({QUARTERS}) AS DOUBLE) AS probability, n, true AS near
+        FROM (SELECT count(*) AS n FROM lineitem)""",
     "describe": """
         SELECT count(l_extendedprice) AS n, round(avg(l_extendedprice), 4) AS mean,
                round(stddev_samp(l_extendedprice), 4) AS deviation,
