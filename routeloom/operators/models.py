@@ -77,7 +77,9 @@ class Recommender:
         self.names = {side: self._numbered(ratings, side) for side in ("user", "item")}
         for side, names in self.names.items():
             ratings = lookup_join(ratings, names, side).withColumnRenamed("number", f"{side}_number")
+        self.reg = reg
         training, self.test = freeze(ratings, "ratings").randomSplit([0.8, 0.2], SEED)
+        self.training = training
         self.model = ALS(
             rank=rank, maxIter=rounds, regParam=reg, coldStartStrategy="drop", seed=SEED,
             userCol="user_number", itemCol="item_number", ratingCol="rating",
@@ -148,6 +150,16 @@ def tree_classifier(
     df: DataFrame, label: str, numbers: list[str], categories: list[str], trees: int = 1
 ) -> DataFrame:
     """Classify a held-back 30 percent: counts ``(label, prediction, n)``."""
+    model, _, test = fit_tree_classifier(df, label, numbers, categories, trees)
+    return model.transform(test).groupBy(F.col(f"{label}_index").alias("label"), "prediction").agg(
+        F.count("*").alias("n")
+    )
+
+
+def fit_tree_classifier(
+    df: DataFrame, label: str, numbers: list[str], categories: list[str], trees: int = 1
+):
+    """A tree or forest, the 70 percent of rows it was fitted to, and the rest."""
     rows = freeze(df.select(label, *numbers, *categories), "rows")
     training, test = rows.randomSplit([0.7, 0.3], SEED)
     target = f"{label}_index"
@@ -158,9 +170,7 @@ def tree_classifier(
             labelCol=target, featuresCol="features", numTrees=trees, seed=SEED
         )
     model = Pipeline(stages=[*_tree_steps(numbers, categories, label), learner]).fit(training)
-    return model.transform(test).groupBy(F.col(target).alias("label"), "prediction").agg(
-        F.count("*").alias("n")
-    )
+    return model, training, test
 
 
 def accuracy(confusion: DataFrame) -> DataFrame:
@@ -173,14 +183,20 @@ def tree_regressor(
     df: DataFrame, label: str, numbers: list[str], categories: list[str]
 ) -> DataFrame:
     """Root mean square error of a regression tree on a held-back 30 percent."""
+    model, _, test = fit_tree_regressor(df, label, numbers, categories)
+    evaluator = RegressionEvaluator(labelCol="target", metricName="rmse")
+    error = evaluator.evaluate(model.transform(test))
+    return test.agg(F.lit(error).alias("rmse"), F.count("*").alias("n"))
+
+
+def fit_tree_regressor(df: DataFrame, label: str, numbers: list[str], categories: list[str]):
+    """A regression tree, the 70 percent of rows it was fitted to, and the rest."""
     target = F.col(label).cast("double").alias("target")
     rows = freeze(df.select(target, *numbers, *categories), "rows")
     training, test = rows.randomSplit([0.7, 0.3], SEED)
     learner = DecisionTreeRegressor(labelCol="target", featuresCol="features", seed=SEED)
     model = Pipeline(stages=[*_tree_steps(numbers, categories, None), learner]).fit(training)
-    evaluator = RegressionEvaluator(labelCol="target", metricName="rmse")
-    error = evaluator.evaluate(model.transform(test))
-    return test.agg(F.lit(error).alias("rmse"), F.count("*").alias("n"))
+    return model, training, test
 
 
 def binary_scores(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from routeloom.operators import models, similarity
+from routeloom.operators import model_checks, models, similarity
 from routeloom.plans.statistic_queries import chi_square_sql
 from routeloom.sources.tables import table
 
@@ -179,6 +179,52 @@ def chi_square_test(spark, folder):
     )
 
 
+def kmeans_check(spark, folder):
+    """Faults of clusters that were moved until they no longer change."""
+    rows = _embeddings(spark, folder)
+    return model_checks.cluster_faults(
+        rows, "embedding", models.kmeans(rows, "embedding", 10, rounds=200)
+    )
+
+
+def als_check(spark, folder):
+    found = model_checks.factor_faults(_recommender(spark, folder))
+    return found.select("unsolved", (F.col("users") > 0).alias("solved_any"))
+
+
+def _rows_of(found, training, test):
+    """Faults, whether all training rows were judged, and the rows of both parts."""
+    sizes = training.agg(F.count("*").alias("a")).join(test.agg(F.count("*").alias("b")))
+    return found.join(F.broadcast(sizes)).select(
+        "faults", (F.col("rows") == F.col("a")).alias("whole"), (F.col("a") + F.col("b")).alias("n")
+    )
+
+
+def tree_regressor_check(spark, folder):
+    model, training, test = models.fit_tree_regressor(
+        _line(spark, folder), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"],
+        ["l_returnflag"],
+    )
+    return _rows_of(model_checks.regression_leaf_faults(model, training), training, test)
+
+
+def tree_classifier_check(spark, folder):
+    model, training, test = models.fit_tree_classifier(
+        _line(spark, folder), "l_linestatus", NUMBERS, ["l_returnflag"]
+    )
+    found = model_checks.class_leaf_faults(model, training, "l_linestatus_index")
+    return _rows_of(found, training, test)
+
+
+def survival_check(spark, folder):
+    return model_checks.survival_faults(_survival(spark, folder))
+
+
+def text_check(spark, folder):
+    search = _text_search(spark, folder)
+    return model_checks.text_faults(search, table(spark, folder, "documents"), "doc_id")
+
+
 QUERIES = {
     "lsh_join": lsh_join,
     "near_pairs_exact": near_pairs_exact,
@@ -202,6 +248,12 @@ QUERIES = {
     "survival_rows": survival_rows,
     "cross_validated_text": lambda s, d: _text_search(s, d).settings(),
     "text_predictions": text_predictions,
+    "kmeans_check": kmeans_check,
+    "als_check": als_check,
+    "tree_regressor_check": tree_regressor_check,
+    "tree_classifier_check": tree_classifier_check,
+    "survival_check": survival_check,
+    "text_check": text_check,
     "chi_square_test": chi_square_test,
     "chi_square_select": lambda s, d: models.chi_square_select(
         _bins(s, d), "l_returnflag", BINS, 2
@@ -249,6 +301,22 @@ SQL = {
     "near_pairs_exact": _near_pairs_sql(
         "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings", NEAR
     ),
+    "kmeans_check": """
+        SELECT CAST(unnest(range(10)) AS INTEGER) AS cluster, count(*) = 0 AS size_fault,
+               count(*) = 0 AS centre_fault, count(*) = 0 AS cost_fault
+        FROM embeddings""",
+    "als_check": """
+        SELECT CAST(0 AS BIGINT) AS unsolved, count(*) > 0 AS solved_any
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "tree_regressor_check": """
+        SELECT CAST(0 AS BIGINT) AS faults, true AS whole, count(*) AS n FROM lineitem""",
+    "tree_classifier_check": """
+        SELECT CAST(0 AS BIGINT) AS faults, true AS whole, count(*) AS n FROM lineitem""",
+    "survival_check": """
+        SELECT CAST(0 AS BIGINT) AS faults, count(*) AS rows, true AS balanced
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "text_check": """
+        SELECT CAST(0 AS BIGINT) AS faults, count(*) AS rows, true AS best FROM documents""",
     "vector_members": """
         SELECT vec_id AS id, min(vec_id) OVER (PARTITION BY list_transform(
                    embedding[1:6], lambda x: sign(CAST(x AS DOUBLE)))) AS representative
