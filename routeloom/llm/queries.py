@@ -254,14 +254,10 @@ WITH doc_words AS (
 ), words AS (
   SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc_words
 ), total AS (SELECT count(*) AS n FROM words
-), vocabulary AS (
-  SELECT word FROM words GROUP BY word HAVING count(*) >= (SELECT n FROM total) * 1e-6
-), known AS (
-  SELECT doc_id, p, v.word FROM words LEFT JOIN vocabulary v USING (word)
-), singles AS (SELECT word, count(*) AS n FROM known GROUP BY word
+), singles AS (SELECT word, count(*) AS n FROM words GROUP BY word
 ), pairs AS (
   SELECT doc_id, p, word, lag(word) OVER d AS before, lag(p) OVER d IS NULL AS opens
-  FROM known WINDOW d AS (PARTITION BY doc_id ORDER BY p)
+  FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY p)
 ), doubles AS (
   SELECT before, word, count(*) AS n FROM pairs WHERE NOT opens GROUP BY before, word
 ), scored AS (
@@ -270,10 +266,9 @@ WITH doc_words AS (
       WHEN opens THEN log10(s.n / (SELECT n FROM total))
       ELSE log10(0.4) + log10(s.n / (SELECT n FROM total)) END AS score
   FROM pairs
-  JOIN singles s ON pairs.word IS NOT DISTINCT FROM s.word
-  LEFT JOIN doubles d ON NOT opens AND pairs.word IS NOT DISTINCT FROM d.word
-                     AND pairs.before IS NOT DISTINCT FROM d.before
-  LEFT JOIN singles b ON NOT opens AND pairs.before IS NOT DISTINCT FROM b.word
+  JOIN singles s ON pairs.word = s.word
+  LEFT JOIN doubles d ON NOT opens AND pairs.word = d.word AND pairs.before = d.before
+  LEFT JOIN singles b ON NOT opens AND pairs.before = b.word
 ), means AS (SELECT doc_id, avg(score) AS score FROM scored GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, round(score, 6) AS score

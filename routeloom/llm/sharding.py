@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 
 from routeloom.llm.storage import replaced, stored
 
-#: Text bytes per bucket; a task holds one bucket.
+#: Text bytes per bucket; a task holds one bucket at a time.
 BUCKET_BYTES = 32 << 20
+#: Tasks of the second pass; more buckets than that are shuffled one after the other.
+MAX_TASKS = 100_000
 
 
 def rendezvous(key: Column, shards: int, seed: int) -> Column:
@@ -79,7 +81,9 @@ def shard_documents(
         place = pa.array(np.arange(rows.num_rows), pa.int64())
         return rows.set_column(rows.schema.get_field_index("slot"), "slot", place)
 
-    written = stored(dealt.groupBy("shard", "bucket").applyInArrow(shuffle, schema), "shards")
+    tasks = min(shards * buckets, MAX_TASKS)
+    scattered = dealt.repartition(tasks, "shard", "bucket").groupBy("shard", "bucket")
+    written = stored(scattered.applyInArrow(shuffle, schema), "shards")
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -98,8 +102,11 @@ def shard_documents(
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, **options: object) -> None:
-    """Write :func:`shard_documents` below ``path``, a folder per shard, rows in slot order."""
+    """Write :func:`shard_documents` below ``path``, a folder per shard.
+
+    Read file by file, by their names, the rows of a shard come in slot order: tasks take ranges of
+    buckets.
+    """
     dealt = shard_documents(docs, shards, **options)
-    dealt.repartition("shard", "bucket").sortWithinPartitions("shard", "slot").write.partitionBy(
-        "shard"
-    ).option("compression", "zstd").parquet(path)
+    ranged = dealt.repartitionByRange("shard", "bucket").sortWithinPartitions("shard", "slot")
+    ranged.write.partitionBy("shard").option("compression", "zstd").parquet(path)
