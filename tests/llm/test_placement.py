@@ -6,6 +6,7 @@ from math import ceil
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -158,3 +159,17 @@ def test_sharding_edges(odd, empty, spark, tmp_path):
     assert got.where("doc_id IS NULL").select("shard").distinct().count() == 1
     write_shards(odd, f"file://{tmp_path}/shards", 3)
     assert spark.read.parquet(f"file://{tmp_path}/shards").count() == odd.count()
+
+
+def test_files_of_a_shard_follow_its_slots(spark, docs, tmp_path):
+    """Buckets of a few bytes go to many files; by their names they hold slots in order."""
+    rows = docs.where("text IS NOT NULL")
+    write_shards(rows, f"file://{tmp_path}/shards", 2, bucket_bytes=64)
+    seen = 0
+    for folder in sorted((tmp_path / "shards").glob("shard=*")):
+        slots = []
+        for file in sorted(folder.glob("*.parquet")):
+            slots += pq.ParquetFile(file).read(["slot"]).column("slot").to_pylist()
+        assert slots == list(range(len(slots)))
+        seen += len(slots)
+    assert seen == rows.count()
