@@ -81,7 +81,8 @@ def shard_documents(
         place = pa.array(np.arange(rows.num_rows), pa.int64())
         return rows.set_column(rows.schema.get_field_index("slot"), "slot", place)
 
-    tasks = min(shards * buckets, MAX_TASKS)
+    # some tasks stay empty, but few get several buckets by the hash of their numbers
+    tasks = min(4 * shards * buckets, MAX_TASKS)
     scattered = dealt.repartition(tasks, "shard", "bucket").groupBy("shard", "bucket")
     written = stored(scattered.applyInArrow(shuffle, schema), "shards")
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(
@@ -92,7 +93,8 @@ def shard_documents(
         .agg(F.count("*").alias("_n"))
         .select("shard", "bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
-    joined = written.join(starts, ["shard", "bucket"])
+    # stored, so that its size is known and the documents stay in place where it is small
+    joined = written.join(stored(starts, "starts"), ["shard", "bucket"])
     return joined.select(
         *[
             (F.col("slot") + F.col("_start")).alias("slot") if c == "slot" else F.col(f"`{c}`")
