@@ -33,6 +33,8 @@ BASE, RATE = 1.001, 20.0
 _REACH = 10.0
 #: Members of a bucket per block.
 BLOCK = 1000
+#: Pairs whose likelihoods a task takes at a time.
+PAIRS = 4096
 #: A pair is dropped if the threshold is less likely than the best similarity by exp(-16).
 UNLIKELY = 16.0
 #: Registers of the finer sketches that tell apart the members of crowded buckets; of each its low
@@ -276,8 +278,10 @@ class _Finder:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for at in range(0, whole.num_rows, 200):
-                    batch = whole.slice(at, 200)
+                ends = whole.column("shingles").offsets.to_numpy().astype(np.int64)
+                # a block's shingles and registers count against its limit
+                for lo, hi in blocks(ends + FINE * np.arange(len(ends)), 1 << 18):
+                    batch = whole.slice(lo, hi - lo)
                     lists = batch.column("shingles")
                     sizes = np.diff(lists.offsets.to_numpy())
                     hashes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
@@ -332,6 +336,9 @@ class _Finder:
             n, block, p, q = (unit.column(c).to_numpy() for c in ("n", "block", "p", "q"))
             _, label = np.unique(np.array(unit.column("label").to_pylist()), return_inverse=True)
             left, right = np.flatnonzero(block == p[0]), np.flatnonzero(block == q[0])
+            if not nearest:
+                fine = np.frombuffer(b"".join(unit.column("fine").to_pylist()), np.uint8)
+                fine = fine.reshape(-1, FINE)
             found = [np.zeros((2, 0), np.int64)]
             for at in range(0, len(left), 32):
                 part = left[at : at + 32]
@@ -349,26 +356,24 @@ class _Finder:
                     x = np.flatnonzero(able[np.arange(len(part)), best])
                     y = best[x]
                 else:
+                    if p[0] == q[0]:  # each pair of a block once
+                        able &= part[:, None] < right[None, :]
                     x, y = np.nonzero(able)
-                found.append(np.stack([part[x], right[y]]))
-            a, b = np.concatenate(found, axis=1)
-            if len(a):
-                keep = may_reach(registers[a], registers[b], n[a], n[b], threshold)
-                if not nearest:  # a pair leaves the bucket of its first common band only
-                    common = bands[a] == bands[b]
-                    keep &= bands[a, common.argmax(axis=1)] == key
+                x, y = part[x], right[y]
+                # all members may be able pairs, so likelihoods are taken of a few at a time
+                for some in range(0, len(x), PAIRS):
+                    a, b = x[some : some + PAIRS], y[some : some + PAIRS]
+                    if not nearest:  # a pair leaves the bucket of its first common band only
+                        common = bands[a] == bands[b]
+                        own = bands[a, common.argmax(axis=1)] == key
+                        a, b = a[own], b[own]
+                    keep = may_reach(registers[a], registers[b], n[a], n[b], threshold)
                     a, b = a[keep], b[keep]
-                    raw = b"".join(unit.column("fine").to_pylist())
-                    fine = np.frombuffer(raw, np.uint8).reshape(-1, FINE)
-                    parts = [slice(at, at + 4096) for at in range(0, len(a), 4096)]
-                    keep = np.concatenate(
-                        [
-                            may_reach_finely(fine[a[c]], fine[b[c]], n[a[c]], n[b[c]], threshold)
-                            for c in parts
-                        ]
-                        or [np.zeros(0, bool)]
-                    )
-                a, b = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
+                    if not nearest:
+                        keep = may_reach_finely(fine[a], fine[b], n[a], n[b], threshold)
+                        a, b = a[keep], b[keep]
+                    found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+            a, b = np.concatenate(found, axis=1)
             node = unit.column("node")
             return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
 

@@ -192,6 +192,46 @@ def test_pairs_of_like_documents_stay_few(spark, monkeypatch):
     assert verified[1] < 16 * 200 and verified[1] <= 3 * verified[0], verified
 
 
+@pytest.mark.parametrize("block", [1000, 150])
+def test_crowded_bucket_takes_few_pairs_at_a_time(spark, monkeypatch, block):
+    """All of a bucket's members may be likely pairs; a task's memory does not grow with them."""
+    real = near_dedup.may_reach
+
+    def bounded(a, *rest):
+        assert len(a) <= 1 << 13, f"{len(a)} pairs at a time"
+        return real(a, *rest)
+
+    n = 300
+    rng = np.random.default_rng(8)
+    pool = rng.integers(1, 1 << 62, 120).astype(np.uint64)
+    own = rng.integers(1, 1 << 62, (n, 30)).astype(np.uint64)
+    # of 120 each: similarities about 0.78 and 0.6
+    cuts = [105 - i % 2 * 10 for i in range(n)]
+    sets = [np.sort(np.concatenate([pool[:c], o[: 120 - c]])) for c, o in zip(cuts, own, strict=True)]
+    at, hashes, size = np.repeat(np.arange(n), 120), np.concatenate(sets), np.full(n, 120)
+    registers = near_dedup.sketch(at, hashes, n)
+    registers[:, :4] = registers[0, :4]  # a band that all share
+    fine = near_dedup.low_bytes(near_dedup.sketch(at, hashes, n, near_dedup.FINE))
+    key = int(near_dedup.band_keys(registers)[0, :1].view(np.int64)[0])
+    a, b = np.triu_indices(n, 1)
+    keep = (registers[a] == registers[b]).sum(axis=1) >= 64
+    keep &= real(registers[a], registers[b], size[a], size[b], 0.8)
+    keep &= near_dedup.may_reach_finely(fine[a], fine[b], size[a], size[b], 0.8)
+    want = set(zip(a[keep].tolist(), b[keep].tolist(), strict=True))
+    assert 2 * n < len(want) < n * (n - 1) // 2
+
+    monkeypatch.setattr(near_dedup, "may_reach", bounded)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rows = [(i, 120, bytes(registers[i])) for i in range(n)]
+    nodes = spark.createDataFrame(rows, "_id long, n long, registers binary")
+    members = spark.createDataFrame([(key, i, i) for i in range(n)], "key long, node long, label long")
+    rows = [(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)]
+    full = spark.createDataFrame(rows, "node long, shingles array<long>")
+    docs = spark.createDataFrame([], "_id long, _text string")
+    got = near_dedup._Finder(docs, 4, 80).across(members, nodes, full, nearest=False).collect()
+    assert len(got) == len(want) and {(r["a"], r["b"]) for r in got} == want
+
+
 def test_finer_registers_keep_what_reaches_the_threshold():
     rng = np.random.default_rng(6)
     pool = rng.integers(1, 1 << 63, 4000).astype(np.uint64)
