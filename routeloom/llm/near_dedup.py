@@ -9,8 +9,9 @@ full sets.
 
 Documents with equal sets are one node from the start.  In a bucket of equal bands, members are
 first compared with one centre only.  In a bucket that still holds several components, each member
-is then compared with its nearest one in another component, by the registers; and last with all
-there that finer registers leave likely.
+is then compared with its nearest one in another component, by the registers.  Last, the members
+with any likely partner in another component, by finer registers too, meet again with their full
+sets; only links that join components leave a bucket, so its rows do not grow with its pairs.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ BASE, RATE = 1.001, 20.0
 _REACH = 10.0
 #: Members of a bucket per block.
 BLOCK = 1000
+#: Shingles of a bucket's full sets per block.
+SHINGLES = 1 << 19
 #: Pairs whose likelihoods a task takes at a time.
 PAIRS = 4096
 #: A pair is dropped if the threshold is less likely than the best similarity by exp(-16).
@@ -152,6 +155,45 @@ def may_reach(a, b, n_a, n_b, threshold: float) -> np.ndarray:
     return logs[:, grid >= threshold].max(axis=1) >= logs.max(axis=1) - UNLIKELY
 
 
+class Overlaps:
+    """Sizes of a column's sets, none of them empty, and of the intersections of pairs."""
+
+    def __init__(self, sets: pa.ListArray):
+        self.size = np.diff(sets.offsets.to_numpy()).astype(np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        values = sets.flatten().to_numpy(zero_copy_only=False)
+        known, self.items = np.unique(values, return_inverse=True)
+        self.mark = np.zeros(len(known), bool)
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of sets ``a`` with sets ``b``; one ``a`` at a time."""
+        out = np.zeros(len(a), np.int64)
+        order = np.argsort(a, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+            if len(part):
+                one, others = a[part[0]], b[part]
+                own = self.items[self.start[one] : self.start[one] + self.size[one]]
+                size = self.size[others]
+                cuts = np.cumsum(size) - size
+                at = np.arange(size.sum()) + np.repeat(self.start[others] - cuts, size)
+                self.mark[own] = True
+                out[part] = np.add.reduceat(self.mark[self.items[at]], cuts, dtype=np.int64)
+                self.mark[own] = False
+        return out
+
+
+def joining(a: np.ndarray, b: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of links ``a, b`` only such that join groups; ``group`` then has the joined ones."""
+    _, first = np.unique(np.stack([group[a], group[b]]), axis=1, return_index=True)
+    used = []
+    for i in first:
+        x, y = group[a[i]], group[b[i]]
+        if x != y:
+            group[group == max(x, y)] = min(x, y)
+            used.append(i)
+    return a[used], b[used]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable (``label``) for each node of ``edges(a, b)``.
 
@@ -296,23 +338,36 @@ class _Finder:
         return sets.select("node", "shingles").mapInArrow(run, schema)
 
     def across(
-        self, members: DataFrame, nodes: DataFrame, sets: DataFrame, nearest: bool
+        self,
+        members: DataFrame,
+        nodes: DataFrame,
+        sets: DataFrame,
+        nearest: bool,
+        give: str = "pairs",
     ) -> DataFrame:
         """Likely pairs ``a, b`` of different components in buckets that hold several.
 
         A bucket is cut into blocks, and each pair of blocks is compared in one task, register by
         register, and by finer registers; only likely pairs leave it, or for each member only the
-        ``nearest`` one.
+        ``nearest`` one.  To ``give`` "members" is to return the members (and their ``n``) with a
+        likely partner instead of the pairs; "links" takes such members, confirms likely pairs on
+        full sets instead of finer registers, and returns as many as join the components.
         """
         several = members.groupBy("key").agg(
-            F.min("label").alias("l1"), F.max("label").alias("l2"), F.count("*").alias("c")
+            F.min("label").alias("l1"),
+            F.max("label").alias("l2"),
+            F.count("*").alias("c"),
+            (F.sum("n") if give == "links" else F.lit(0)).alias("weight"),
         )
-        several = several.where("l1 <> l2").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks"))
+        cuts = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("weight") / SHINGLES))
+        several = several.where("l1 <> l2").select("key", cuts.alias("blocks"))
         rows = members.join(several, "key").withColumn(
             "block", F.pmod(F.xxhash64("node"), F.col("blocks"))
         )
         known = nodes.select(F.col("_id").alias("node"), "n", "registers")
-        if not nearest:
+        if give == "links":  # a row may have an empty text beside another with its id
+            known = known.join(sets.where(F.size("shingles") > 0), "node")
+        elif not nearest:
             apart = rows.select("node").distinct()
             known = known.join(self.finer(sets.join(apart, "node", "left_semi")), "node")
         units = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -334,9 +389,12 @@ class _Finder:
             bands = band_keys(registers)
             key = unit.column("key").to_numpy().view(np.uint64)[0]
             n, block, p, q = (unit.column(c).to_numpy() for c in ("n", "block", "p", "q"))
-            _, label = np.unique(np.array(unit.column("label").to_pylist()), return_inverse=True)
+            _, group = np.unique(np.array(unit.column("label").to_pylist()), return_inverse=True)
             left, right = np.flatnonzero(block == p[0]), np.flatnonzero(block == q[0])
-            if not nearest:
+            likely = np.zeros(len(n), bool)
+            if give == "links":
+                overlaps = Overlaps(unit.column("shingles").combine_chunks())
+            elif not nearest:
                 fine = np.frombuffer(b"".join(unit.column("fine").to_pylist()), np.uint8)
                 fine = fine.reshape(-1, FINE)
             found = [np.zeros((2, 0), np.int64)]
@@ -345,11 +403,13 @@ class _Finder:
                 same = (registers[part][:, None, :] == registers[right][None, :, :]).sum(axis=2)
                 small = np.minimum(n[part][:, None], n[right][None, :])
                 large = np.maximum(n[part][:, None], n[right][None, :])
-                able = (label[part][:, None] != label[right][None, :]) & (
+                able = (group[part][:, None] != group[right][None, :]) & (
                     100 * small >= percent * large
                 )
                 # far below what a pair at the threshold shows
                 able &= same >= REGISTERS * (threshold - 0.3)
+                if give == "members":  # known ones need not meet again
+                    able &= ~(likely[part][:, None] & likely[right][None, :])
                 if nearest:
                     same = np.where(able, same, -1)
                     best = same.argmax(axis=1) if same.shape[1] else np.zeros(0, int)
@@ -369,15 +429,28 @@ class _Finder:
                         a, b = a[own], b[own]
                     keep = may_reach(registers[a], registers[b], n[a], n[b], threshold)
                     a, b = a[keep], b[keep]
-                    if not nearest:
+                    if give == "links":
+                        both = overlaps.common(a, b)
+                        union = overlaps.size[a] + overlaps.size[b] - both
+                        keep = 100 * both >= percent * union
+                        a, b = joining(a[keep], b[keep], group)
+                    elif not nearest:
                         keep = may_reach_finely(fine[a], fine[b], n[a], n[b], threshold)
                         a, b = a[keep], b[keep]
-                    found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+                    if give == "members":
+                        likely[a] = likely[b] = True
+                    else:
+                        found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+            if give == "members":
+                return unit.select(["key", "node", "label", "n"]).filter(pa.array(likely))
             a, b = np.concatenate(found, axis=1)
             node = unit.column("node")
             return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
 
-        schema = T.StructType([T.StructField(c, id_type) for c in ("a", "b")])
+        fields = [("a", id_type), ("b", id_type)]
+        if give == "members":
+            fields = [("key", T.LongType()), ("node", id_type), ("label", id_type), ("n", T.LongType())]
+        schema = T.StructType([T.StructField(*f) for f in fields])
         return units.groupBy("key", "p", "q").applyInArrow(compare, schema).distinct()
 
     def full_sets(self, ids: DataFrame) -> DataFrame:
@@ -456,20 +529,24 @@ def near_duplicates(
     ties = members.join(several.where("c > 1"), "_id").where("node <> a")
     # an id with several texts ties their nodes together
     links = stored(ties.select("a", F.col("node").alias("b")), "links")
+    ends = [f("centre", "node") for f in (F.least, F.greatest)]
+    apart = crowd.where("node <> centre").select(ends[0].alias("a"), ends[1].alias("b"))
     labels = None
     for turn in ("centre", "nearest", "rest"):
-        if turn == "centre":
-            ends = [f("centre", "node") for f in (F.least, F.greatest)]
-            apart = crowd.where("node <> centre").select(ends[0].alias("a"), ends[1].alias("b"))
-            pairs = finder.likely(apart.distinct(), nodes)
-        else:
+        if turn != "centre":
             labelled = crowd.join(labels, "node", "left").select(
                 "key", "node", F.coalesce("label", "node").alias("label")
             )
-            pairs = finder.across(labelled, nodes, sets, turn == "nearest")
-        pairs = stored(pairs, "pairs")
-        if pairs.limit(1).count():
-            links = links.unionByName(stored(finder.verified(pairs, sets), "links"))
+        if turn == "rest":
+            likely = finder.across(labelled, nodes, sets, False, "members")
+            found = finder.across(stored(likely, "likely"), nodes, sets, False, "links")
+        else:
+            if turn == "centre":
+                pairs = finder.likely(apart.distinct(), nodes)
+            else:
+                pairs = finder.across(labelled, nodes, sets, True)
+            found = finder.verified(stored(pairs, "pairs"), sets)
+        links = links.unionByName(stored(found, "links"))
         labels = components(links)
     placed = members.join(labels, "node", "left").groupBy("_id").agg(
         F.min(F.coalesce("label", "node")).alias("component_id")

@@ -232,6 +232,85 @@ def test_crowded_bucket_takes_few_pairs_at_a_time(spark, monkeypatch, block):
     assert len(got) == len(want) and {(r["a"], r["b"]) for r in got} == want
 
 
+def test_rows_do_not_grow_with_pairs_just_below_the_threshold(spark, monkeypatch):
+    """A family at similarities of about 0.75: no table has more rows than bands of documents."""
+    counts, plain = {}, near_dedup.stored
+
+    def counting(df, name):
+        table = plain(df, name)
+        counts[name] = max(counts.get(name, 0), table.count())
+        return table
+
+    monkeypatch.setattr(near_dedup, "stored", counting)
+    rng = np.random.default_rng(11)
+    n, base = 300, [f"word{i}" for i in range(300)]
+    rows, sets = [], {}
+    while len(rows) < n:
+        words = list(base)
+        for place in rng.choice(300, 5, replace=False):
+            words[place] = f"other{len(rows)}x{place}"
+        own = shingle_sets([(len(rows), " ".join(words))], 4)
+        new = own[len(rows)]
+        if all(100 * len(new & old) < 80 * len(new | old) for old in sets.values()):
+            rows.append((len(rows), " ".join(words)))
+            sets |= own
+    for i in range(0, 30, 10):  # links of a few
+        rows.append((n + i, rows[i][1].replace("word7 ", "more ")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = expected_groups(shingle_sets(rows, 4), 80)
+    assert n - 10 < len(set(groups.values())) < len(rows)
+    got = by_id(near_duplicates(docs, 4))
+    assert {i: r["component_id"] for i, r in got.items()} == groups
+    assert max(counts.values()) <= near_dedup.REGISTERS // near_dedup.BAND * len(rows), counts
+
+
+@pytest.mark.parametrize(("block", "shingles"), [(1000, 1 << 19), (70, 1 << 19), (1000, 4000)])
+def test_links_of_a_crowded_bucket(spark, monkeypatch, block, shingles):
+    """Links found in a bucket, in blocks by members or shingles, give brute force's components."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "SHINGLES", shingles)
+    n = 200
+    rng = np.random.default_rng(9)
+    pool = rng.integers(1, 1 << 62, 130).astype(np.uint64)
+    own = rng.integers(1, 1 << 62, (n, 130)).astype(np.uint64)
+    # some sets reach 0.8 with one another, some with the largest only, some with none
+    cuts = [(122, 116, 113, 104, 30)[i % 5] for i in range(n)]
+    sets = [np.sort(np.concatenate([pool[:c], o[c:]])) for c, o in zip(cuts, own, strict=True)]
+    at, hashes = np.repeat(np.arange(n), 130), np.concatenate(sets)
+    registers = near_dedup.sketch(at, hashes, n)
+    registers[:, :4] = registers[0, :4]  # a band that all share
+    keys = near_dedup.band_keys(registers).view(np.int64)
+    rows = [(i, 130, bytes(registers[i])) for i in range(n)]
+    nodes = spark.createDataFrame(rows, "_id long, n long, registers binary")
+    rows = [(int(keys[0, 0]), i, i) for i in range(n)]
+    members = spark.createDataFrame(rows, "key long, node long, label long")
+    rows = [(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)]
+    full = spark.createDataFrame([*rows, (5, [])], "node long, shingles array<long>")
+    finder = near_dedup._Finder(spark.createDataFrame([], "_id long, _text string"), 4, 80)
+    likely = finder.across(members, nodes, full, False, "members").cache()
+    found = [tuple(r) for r in finder.across(likely, nodes, full, False, "links").collect()]
+    want = expected_groups({i: set(s.tolist()) for i, s in enumerate(sets)}, 80)
+    assert {r["node"] for r in likely.collect()} >= {i for i in want if list(want.values()).count(want[i]) > 1}
+    for a, b in found:
+        both = len(np.intersect1d(sets[a], sets[b]))
+        assert 100 * both >= 80 * (260 - both)
+    group = np.arange(n)
+    near_dedup.joining(*(np.array(x) for x in zip(*found, strict=True)), group)
+    assert group.tolist() == [want[i] for i in range(n)] and len(set(group)) < n - 40
+    parts = max(-(-n // block), -(-n * 130 // shingles))
+    assert len(found) < n * (parts + 1)
+
+
+def test_overlaps_of_sets():
+    rng = np.random.default_rng(2)
+    sets = [rng.choice(60, rng.integers(1, 50), replace=False).tolist() for _ in range(30)]
+    overlaps = near_dedup.Overlaps(near_dedup.pa.array([[1], *sets])[1:])
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(30), np.arange(30)))
+    want = [len({*sets[x]} & {*sets[y]}) for x, y in zip(a, b, strict=True)]
+    assert overlaps.common(a, b).tolist() == want
+    assert overlaps.common(a[:0], b[:0]).tolist() == []
+
+
 def test_finer_registers_keep_what_reaches_the_threshold():
     rng = np.random.default_rng(6)
     pool = rng.integers(1, 1 << 63, 4000).astype(np.uint64)
