@@ -243,17 +243,18 @@ def test_rows_do_not_grow_with_pairs_just_below_the_threshold(spark, monkeypatch
 
     monkeypatch.setattr(near_dedup, "stored", counting)
     rng = np.random.default_rng(11)
-    n, base = 300, [f"word{i}" for i in range(300)]
+    n, base = 150, [f"word{i}" for i in range(300)]
     rows, sets = [], {}
     while len(rows) < n:
         words = list(base)
         for place in rng.choice(300, 5, replace=False):
             words[place] = f"other{len(rows)}x{place}"
-        own = shingle_sets([(len(rows), " ".join(words))], 4)
-        new = own[len(rows)]
-        if all(100 * len(new & old) < 80 * len(new | old) for old in sets.values()):
-            rows.append((len(rows), " ".join(words)))
-            sets |= own
+        rows.append((len(rows), " ".join(words)))
+        own = shingle_sets(rows[-1:], 4)[len(rows) - 1]
+        if any(100 * len(own & old) >= 80 * len(own | old) for old in sets.values()):
+            rows.pop()
+        else:
+            sets[len(rows) - 1] = own
     for i in range(0, 30, 10):  # links of a few
         rows.append((n + i, rows[i][1].replace("word7 ", "more ")))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
