@@ -85,6 +85,43 @@ def test_best_items_equal_full_scoring(spark, monkeypatch, flat):
     assert cost["pairs"] == 48_000 and (flat or cost["scored"] < 0.2 * cost["pairs"])
 
 
+@pytest.mark.parametrize("leading", [2, 16])
+def test_best_items_of_equal_lengths(spark, monkeypatch, leading):
+    """Directions alone leave few pairs to score; users without a direction take the first ids."""
+    sizes = {"HEAD": 16, "BLOCK": 700, "GROUP": 150, "LEADING": leading}
+    for name, value in sizes.items():
+        monkeypatch.setattr(best_items, name, value)
+    rng = np.random.default_rng(5)
+    users = rng.standard_normal((300, 4)) * [3, 2, 0.1, 0.1]
+    users[:2] = 0
+    items = rng.standard_normal((3000, 4))
+    items /= np.sqrt((items * items).sum(axis=1))[:, None]
+    frames = [
+        spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id int, features array<float>")
+        for m in (users, items)
+    ]
+    search = best_items.BestItems(*frames, k=3)
+    got = {}
+    for r in search.best().orderBy("user", "place").collect():
+        got.setdefault(r["user"], []).append(r["item"])
+    u, v = users.astype(np.float32).astype(float), items.astype(np.float32).astype(float)
+    for i in range(300):
+        scores = best_items._scores(u[i][None], v)
+        assert got[i] == sorted(range(3000), key=lambda j: (-scores[j], j))[:3]
+    cost = search.cost().first()
+    assert cost["pairs"] == 900_000 and cost["scored"] < 0.05 * cost["pairs"]
+
+
+def test_many_equal_scores_keep_the_smallest_ids(monkeypatch):
+    """More pairs than a task keeps, all equal."""
+    monkeypatch.setattr(best_items, "KEPT", 100)
+    monkeypatch.setattr(best_items, "TILE", 32)
+    users, ids = np.ones((70, 2)), np.arange(500)[::-1].copy()
+    row, item, score, scored = best_items._better(users, np.ones(70), np.ones((500, 2)), ids, 4, None)
+    assert sorted(zip(row.tolist(), item.tolist())) == [(r, i) for r in range(70) for i in range(4)]
+    assert set(score.tolist()) == {2.0} and scored.tolist() == [500] * 70
+
+
 def test_few_or_no_items(spark):
     schema = "id int, features array<float>"
     one = spark.createDataFrame([(7, [1.0, 2.0]), (9, [0.0, 1.0])], schema)
