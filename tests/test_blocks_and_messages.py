@@ -61,6 +61,37 @@ def test_block_entries(spark):
     assert as_dict(matrix.multiply(empty)) == {}
 
 
+def test_products_leave_a_task_as_sums(spark, monkeypatch):
+    """However many blocks meet in a place of the product; stored rows stay short."""
+    monkeypatch.setattr(blocks, "ENTRIES", 50)
+    monkeypatch.setattr(blocks, "PRODUCTS", 30)
+    a = random_cells(4, (-300, 300), (0, 4), 1500)
+    tall = BlockMatrix.from_entries(entries(spark, a), bits=2)
+    turned = {(j, i): v for (i, j), v in a.items()}
+    made = blocks._multiplier
+
+    def watched(bits):
+        run = made(bits)
+        counts = left_rows.add
+
+        def counted(batches):
+            for batch in run(batches):
+                counts(batch.num_rows)
+                yield batch
+
+        return counted
+
+    left_rows = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(blocks, "_multiplier", watched)
+    square = tall.transpose().multiply(tall)
+    assert as_dict(square) == product(turned, a)
+    assert left_rows.value <= 4
+    full = BlockMatrix.from_entries(entries(spark, {(i, j): 1 for i in range(8) for j in range(8)}), 3)
+    for matrix in (full, full.multiply(full)):
+        sizes = matrix.blocks.selectExpr("max(size(v)) AS most", "sum(size(v)) AS n").first()
+        assert sizes.most <= 16 and sizes.n == 64
+
+
 def test_dense_and_paired_products_agree():
     r = np.random.default_rng(3)
     x, y = r.integers(0, 3, (8, 8)).astype(float), r.integers(0, 3, (8, 8)).astype(float)
