@@ -6,6 +6,10 @@ answer has: a nearest centre, a solved equation, the mean of a leaf.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +17,9 @@ from pyspark.sql import functions as F
 from routeloom.functions.skew import lookup_join
 from routeloom.operators.models import Recommender, Survival, TextSearch
 
+#: Ratings that are summed up at a time.
+ROWS = 100_000
+
 
 def _squared_distance(a: Column, b: Column) -> Column:
     squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
@@ -56,6 +63,37 @@ def cluster_faults(points: DataFrame, column: str, clusters: DataFrame) -> DataF
     )
 
 
+def _pulls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per user in succession: ratings, factors, errors times items' factors, and their sizes."""
+
+    def matrix(column: pa.Array, rows: int) -> np.ndarray:
+        return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
+
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            users, ratings = (
+                batch.column(c).to_numpy(zero_copy_only=False) for c in ("user_number", "rating")
+            )
+            ratings = ratings.astype(np.float64)
+            u, v = (matrix(batch.column(c), len(users)) for c in "uv")
+            starts = np.flatnonzero(np.r_[True, users[1:] != users[:-1]])
+            error = ratings - (u * v).sum(axis=1)
+            pull = np.add.reduceat(error[:, None] * v, starts)
+            scale = np.add.reduceat(np.abs(ratings[:, None] * v), starts)
+            sums = [
+                pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), v.shape[1]).cast(
+                    pa.list_(pa.float64())
+                )
+                for x in (u[starts], pull, scale)
+            ]
+            n = np.diff(np.r_[starts, len(users)])
+            columns = [pa.array(users[starts], pa.int32()), pa.array(n, pa.int64()), *sums]
+            yield pa.RecordBatch.from_arrays(
+                columns, names=["user_number", "n", "u", "pull", "scale"]
+            )
+
+
 def factor_faults(recommender: Recommender) -> DataFrame:
     """Users whose factors do not solve their normal equations: ``(unsolved, users)``.
 
@@ -66,16 +104,17 @@ def factor_faults(recommender: Recommender) -> DataFrame:
     users = model.userFactors.select(F.col("id").alias("user_number"), F.col("features").alias("u"))
     items = model.itemFactors.select(F.col("id").alias("item_number"), F.col("features").alias("v"))
     rated = recommender.training.select("user_number", "item_number", "rating")
-    both = lookup_join(lookup_join(rated, users, "user_number"), items, "item_number")
-    product = F.zip_with("u", "v", lambda x, y: x.cast("double") * y)
-    error = F.col("rating") - F.aggregate(product, F.lit(0.0), lambda total, x: total + x)
-    parts = both.withColumn("error", error).select(
-        "user_number", "rating", "error", F.posexplode(F.arrays_zip("u", "v")).alias("at", "uv")
+    # an item's factors travel once with each rating; what leaves is summed by user
+    met = lookup_join(rated, items, "item_number").select("user_number", "rating", "v")
+    parts = lookup_join(met, users, "user_number").mapInArrow(
+        _pulls, "user_number int, n bigint, u array<double>, pull array<double>, scale array<double>"
     )
-    sums = parts.groupBy("user_number", "at").agg(
-        F.sum(F.col("error") * F.col("uv.v")).alias("pull"),
-        F.sum(F.abs(F.col("rating") * F.col("uv.v"))).alias("scale"),
-        (F.max(F.col("uv.u").cast("double")) * F.count("*") * recommender.reg).alias("penalty"),
+    sums = parts.select(
+        "user_number", "n", F.posexplode(F.arrays_zip("u", "pull", "scale")).alias("at", "sums")
+    ).groupBy("user_number", "at").agg(
+        F.sum("sums.pull").alias("pull"),
+        F.sum("sums.scale").alias("scale"),
+        (F.max("sums.u") * F.sum("n") * recommender.reg).alias("penalty"),
     )
     missed = F.abs(F.col("pull") - F.col("penalty")) > 1e-3 * (1 + F.col("scale"))
     return sums.groupBy("user_number").agg(F.max(missed).alias("missed")).agg(

@@ -2,9 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from routeloom import workspace
 from routeloom.operators import model_checks, models
 
 
@@ -49,6 +51,32 @@ def test_factors(spark):
     assert model_checks.factor_faults(found).first().unsolved > 20
 
 
+def test_ratings_are_stored_once_and_summed_by_user(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_folder", lambda _: str(tmp_path))
+    r = random.Random(8)
+    likes = [(u, i, float(r.randint(1, 5))) for u in range(20) for i in range(30)]
+    found = models.Recommender(spark.createDataFrame(likes, "user int, item int, rating double"), 3, 2)
+    stored = [x.name.split("-")[0] for x in (tmp_path / "routeloom").iterdir()]
+    assert stored.count("ratings") == 1 and stored.count("names") == 2
+    assert model_checks.factor_faults(found).first().users == 20
+
+    monkeypatch.setattr(model_checks, "ROWS", 2)
+    rows = pa.table(
+        {
+            "user_number": pa.array([4, 4, 4, 7], pa.int32()),
+            "rating": pa.array([2.0, 3.0, 5.0, 1.0]),
+            "v": pa.array([[1.0, 0.0], [0.0, 2.0], [1.0, 1.0], [0.0, -1.0]], pa.list_(pa.float32())),
+            "u": pa.array([[1.0, 1.0]] * 3 + [[2.0, 0.0]], pa.list_(pa.float32())),
+        }
+    )
+    sums = [x for batch in model_checks._pulls(rows.to_batches()) for x in batch.to_pylist()]
+    assert [(x["user_number"], x["n"], x["u"], x["pull"], x["scale"]) for x in sums] == [
+        (4, 2, [1.0, 1.0], [1.0, 2.0], [2.0, 6.0]),
+        (4, 1, [1.0, 1.0], [3.0, 3.0], [5.0, 5.0]),
+        (7, 1, [2.0, 0.0], [0.0, -1.0], [0.0, 1.0]),
+    ]
+
+
 def test_leaves(rows):
     model, training, _ = models.fit_tree_regressor(rows, "target", ["x"], ["kind"])
     result = model_checks.regression_leaf_faults(model, training).first()
