@@ -23,8 +23,10 @@ from pyspark.sql import types as T
 from routeloom.functions.skew import lookup_join
 from routeloom.workspace import freeze, freeze_counting
 
-#: Members of a cell per block.
-BLOCK = 2_000
+#: Least and most members of a cell per block; between them a cell is cut into so many.
+BLOCK, MOST, BLOCKS = 2_000, 32_000, 16
+#: Members of two blocks that are compared at a time.
+TILE = 2_048
 #: Vectors that a plan is made from.
 SAMPLE = 2_000
 #: Members of a cell that are compared together with those of other cells.
@@ -240,6 +242,9 @@ class NearPairs:
             distinct_vectors(df, key, column).where(whole), "vectors"
         )
         self.key_type = self.vectors.schema["id"].dataType
+        kind = df.select(column).schema[0].dataType
+        single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+        self.element = "float" if single else "double"
         self.plan = self._plan(recall, seed)
 
     def _plan(self, recall: float | None, seed: int) -> Hashing | Grid | None:
@@ -299,7 +304,11 @@ class NearPairs:
                 "cell",
                 "homes",
                 (F.col("n") - F.col("homes")).alias("visits"),
-                F.ceil(F.col("n") / BLOCK).alias("blocks"),
+                F.ceil(
+                    F.col("n") / F.greatest(
+                        F.lit(BLOCK), F.least(F.lit(MOST), F.ceil(F.col("n") / BLOCKS))
+                    )
+                ).alias("blocks"),
             ),
             "cells",
         )
@@ -329,8 +338,9 @@ class NearPairs:
             "home",
             "id",
         )
-        # only vectors that share a cell travel, and only after the cells are known
-        filled = lookup_join(units, self.vectors, "id")
+        # only vectors that share a cell travel, as short as they came, and after the cells are known
+        vectors = self.vectors.withColumn("vector", F.col("vector").cast(f"array<{self.element}>"))
+        filled = lookup_join(units, vectors, "id")
         threshold = self.threshold
         schema = T.StructType(
             [
@@ -392,7 +402,7 @@ def _compared(rows: pd.DataFrame, threshold: float) -> Iterator[pd.DataFrame]:
     starts = np.flatnonzero(np.r_[True, (unit[1:] != unit[:-1]).any(axis=1)])
     sizes = np.diff(np.r_[starts, len(rows)])
     number = np.repeat(np.arange(len(starts)), sizes)
-    points = np.stack(rows["vector"].to_numpy())
+    points = np.stack(rows["vector"].to_numpy()).astype(np.float64)
     home, block = rows["home"].to_numpy(), rows["block"].to_numpy()
     across = unit[:, 1] != unit[:, 2]
     few = np.repeat(sizes <= FEW, sizes)
@@ -402,8 +412,9 @@ def _compared(rows: pd.DataFrame, threshold: float) -> Iterator[pd.DataFrame]:
         if len(a):
             found.append(_close(points, a, a + apart, home, block, across, threshold))
     for start, size in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
-        a, b = _roughly_near(points[start : start + size], threshold)
-        found.append(_close(points, a + start, b + start, home, block, across, threshold))
+        one = slice(start, start + size)
+        for a, b in _roughly_near(points[one], _meeting(home[one], block[one], unit[start]), threshold):
+            found.append(_close(points, a + start, b + start, home, block, across, threshold))
     if not found:
         return
     a, b, distance = map(np.concatenate, zip(*found, strict=True))
@@ -421,13 +432,46 @@ def _compared(rows: pd.DataFrame, threshold: float) -> Iterator[pd.DataFrame]:
     )
 
 
-def _roughly_near(points: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places of pairs that may be near, by products of the matrix."""
-    lengths = (points * points).sum(axis=1)
-    rough = lengths[:, None] + lengths[None, :] - 2 * (points @ points.T)
+def _meeting(
+    home: np.ndarray, block: np.ndarray, unit: np.ndarray
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places of members of a unit ``(cell, p, q)`` that meet; equal ones meet among themselves."""
+    _, p, q = unit.tolist()
+    homes, visits = (
+        [np.flatnonzero((home == at_home) & (block == number)) for number in (p, q)]
+        for at_home in (True, False)
+    )
+    if p == q:
+        return [(homes[0], homes[0]), (homes[0], visits[0])]
+    return [(homes[0], np.r_[homes[1], visits[1]]), (visits[0], homes[1])]
+
+
+def _roughly_near(
+    points: np.ndarray, meeting: list[tuple[np.ndarray, np.ndarray]], threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs that may be near, the earlier first, by products of ``TILE`` rows."""
+    moved = points - points.mean(axis=0)
+    squares = (moved * moved).sum(axis=1) / 2
     # The product form loses some digits, so it only sorts out what is clearly too far.
-    slack = 1e-9 * (1 + lengths.max())
-    return np.nonzero(np.triu(rough < threshold * threshold + slack, 1))
+    size, near = points.shape[1] + 10, threshold * threshold / 2
+    kind, slack = np.float32, size * 2.0**-21 * squares.max()
+    if not slack < 0.01 * near:
+        kind, slack = np.float64, size * 2.0**-50 * squares.max()
+    limit = kind(near + slack)
+    ones = np.ones(len(points))
+    first = np.column_stack([-moved, squares, ones]).astype(kind)
+    second = np.column_stack([moved, ones, squares]).astype(kind)
+    for left, right in meeting:
+        same = left is right
+        for at in range(0, len(left), TILE):
+            rows = left[at : at + TILE]
+            for to in range(at if same else 0, len(right), TILE):
+                columns = right[to : to + TILE]
+                close = first[rows] @ second[columns].T < limit
+                a, b = np.nonzero(np.triu(close, 1) if same and at == to else close)
+                if len(a):
+                    a, b = rows[a], columns[b]
+                    yield np.minimum(a, b), np.maximum(a, b)
 
 
 def _close(

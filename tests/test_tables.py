@@ -84,6 +84,24 @@ def test_exact_pairs_by_brute_force(spark, monkeypatch, threshold):
     assert all(counts[i] == (41 if i == 5 else 1) for i in counts)
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+@pytest.mark.parametrize("far", [0.0, 1e6])
+def test_large_cells_are_cut_into_few_blocks(spark, monkeypatch, kind, far):
+    """A member of a cell is copied to as many units as the cell has blocks."""
+    monkeypatch.setattr(similarity, "BLOCK", 2)
+    monkeypatch.setattr(similarity, "TILE", 5, raising=False)
+    monkeypatch.setattr(similarity, "FEW", 4)
+    r = random.Random(9)
+    rows = [(i, [far + r.randint(-20, 20) / 8 for _ in range(6)]) for i in range(150)]
+    df = spark.createDataFrame(rows, f"id bigint, v array<{kind}>")
+    search = similarity.NearPairs(df, "id", "v", 3.0, recall=None)
+    found = search.pairs().collect()
+    assert {(x.id_a, x.id_b): x.distance for x in found} == pytest.approx(near(rows, 3.0))
+    assert len(found) == len(near(rows, 3.0)) > 100
+    cells = search.cells.selectExpr("max(blocks) AS blocks", "max(homes + visits) AS n").first()
+    assert cells.n > 100 and cells.blocks <= 16
+
+
 def test_neighbouring_cells_hold_every_near_pair():
     """A grid with more axes than its plan would take misses nothing."""
     import numpy as np
